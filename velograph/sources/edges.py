@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velograph.functions.text import LINE_EDGE_SPACE
@@ -27,7 +27,7 @@ def read_edges_strict(spark: SparkSession, path: str) -> DataFrame:
         F.raise_error(F.concat(F.lit("expected 3 fields in edge line: "), F.col("value")))
     )
 
-    def node(index: int) -> F.Column:
+    def node(index: int) -> Column:
         number = fields[index].try_cast("int")
         return F.coalesce(
             number, F.raise_error(F.concat(F.lit("no integer node in edge line: "), F.col("value")))
