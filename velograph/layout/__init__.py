@@ -2,11 +2,12 @@
 
 from velograph.layout.lineage import cut_lineage, shuffle_partitions
 from velograph.layout.positions import number_rows
-from velograph.layout.skew import broadcast_if_small, heavy_keys, SlicedRows, slice_rows
+from velograph.layout.skew import ROWS_PER_TASK, HeavyKeys, SlicedRows, heavy_keys, slice_rows
 
 __all__ = [
+    "HeavyKeys",
+    "ROWS_PER_TASK",
     "SlicedRows",
-    "broadcast_if_small",
     "cut_lineage",
     "heavy_keys",
     "number_rows",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velograph.layout.lineage import cut_lineage
@@ -11,8 +13,8 @@ from velograph.layout.lineage import cut_lineage
 _INDEX_BITS = 33
 
 
-def number_rows(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
-    """Add ``position``: 1, 2, 3, ... in the order of ``order_by``.
+def number_rows(df: DataFrame, order_by: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The columns ``keep`` and ``position``: 1, 2, 3, ... in the order of ``order_by``.
 
     The rows are range-sorted over all tasks and written once; each row then knows its index
     within its partition, and a table with one row per partition supplies the offsets. The row id
@@ -20,9 +22,11 @@ def number_rows(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
     """
     sorted_rows = df.withColumn("_row", F.monotonically_increasing_id()).orderBy(*order_by, "_row")
     placed = cut_lineage(
-        sorted_rows.drop("_row")
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_index", F.monotonically_increasing_id().bitwiseAND((1 << _INDEX_BITS) - 1))
+        sorted_rows.select(
+            *keep,
+            F.spark_partition_id().alias("_part"),
+            F.monotonically_increasing_id().bitwiseAND((1 << _INDEX_BITS) - 1).alias("_index"),
+        )
     )
     # One row per partition: small whatever the data, hence the unpartitioned window and broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -31,8 +35,6 @@ def number_rows(df: DataFrame, order_by: list[str | Column]) -> DataFrame:
         .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn("position", F.col("_offset") + F.col("_index") + 1)
-        .drop("_part", "_index", "_offset")
+    return placed.join(F.broadcast(offsets), "_part").select(
+        *keep, (F.col("_offset") + F.col("_index") + 1).alias("position")
     )

@@ -20,12 +20,32 @@ BROADCAST_ROWS = 1_000_000
 ROWS_PER_TASK = 5_000_000
 
 
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> tuple[DataFrame, int]:
-    """Keys of ``df`` with more than ``rows_per_task`` rows, and how many such keys there are.
+@dataclass
+class HeavyKeys:
+    """Keys with too many rows for one task: ``key, n_rows, slices``, and how many there are."""
+
+    table: DataFrame
+    key: str
+    count: int
+
+    def __bool__(self) -> bool:
+        return self.count > 0
+
+    def for_join(self, *columns: str) -> DataFrame:
+        """``columns`` of the table, broadcast when its counted size allows it.
+
+        Beyond the limit the optimizer plans a shuffled join, whose skewed partitions adaptive
+        execution splits.
+        """
+        narrow = self.table.select(*columns)
+        return F.broadcast(narrow) if self.count <= BROADCAST_ROWS else narrow
+
+
+def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> HeavyKeys:
+    """Find the keys of ``df`` with more than ``rows_per_task`` rows.
 
-    Columns: the key, ``n_rows`` and ``slices``, the number of tasks to spread the key over. The
-    count reads one column and combines before its shuffle, so a hot key costs it nothing. NULL
-    keys never count as heavy.
+    ``slices`` is the number of tasks to spread such a key over. The pass reads one column and
+    combines before its shuffle, so a hot key costs it nothing. NULL is never a heavy key.
     """
     heavy = (
         df.filter(F.col(key).isNotNull())
@@ -34,58 +54,47 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> tuple[DataFrame,
         .filter(F.col("n_rows") > rows_per_task)
         .withColumn("slices", F.ceil(F.col("n_rows") / rows_per_task).cast("int"))
     )
-    heavy = cut_lineage(heavy)
-    return heavy, heavy.count()
-
-
-def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
-    """Broadcast ``df`` when its counted size allows it; otherwise leave the join to the optimizer.
-
-    ``n_rows`` is a real count, not an estimate. Beyond the limit the join shuffles and adaptive
-    execution splits its skewed partitions.
-    """
-    return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
+    count = heavy.count()
+    return HeavyKeys(cut_lineage(heavy) if count else heavy, key, count)
 
 
 @dataclass
 class SlicedRows:
-    """Rows placed by ``(key, slice)``; heavy keys own several slices, all others slice 0."""
+    """Rows hashed on ``join_keys``: the key, and the slice where some key is heavy."""
 
     rows: DataFrame
-    key: str
-    heavy: DataFrame
-    n_heavy: int
-
-    def spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Copy each row of ``df`` (one per key) to every slice of its key, in column ``slice``."""
-        if not self.n_heavy:
-            return df.withColumn("slice", F.lit(0))
-        heavy = self.heavy.select(F.col(self.key).alias(key), "slices")
+    join_keys: list[str]
+    heavy: HeavyKeys
+
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Copy each row of ``df``, one per key, to every slice of its key."""
+        if not self.heavy:
+            return df
+        key = self.heavy.key
+        last_slice = F.coalesce("slices", F.lit(1)) - 1
         return (
-            df.join(broadcast_if_small(heavy, self.n_heavy), key, "left")
-            .withColumn("slice", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
+            df.join(self.heavy.for_join(key, "slices"), key, "left")
+            .withColumn("slice", F.explode(F.sequence(F.lit(0), last_slice)))
             .drop("slices")
         )
 
 
-def slice_rows(
-    df: DataFrame, heavy: DataFrame, n_heavy: int, key: str, spread_by: list[str]
-) -> SlicedRows:
-    """Hash ``df`` on ``(key, slice)``, the slice of a heavy key coming from ``spread_by``.
+def slice_rows(df: DataFrame, heavy: HeavyKeys, spread_by: list[str]) -> SlicedRows:
+    """Hash ``df`` on its key, the rows of a heavy key being told apart by ``spread_by``.
 
-    ``spread_by`` has to tell the rows of one key apart. It is hashed rather than drawn at random,
-    so that a retried task puts every row where it was before. The explicit repartition also keeps
-    the join above free of a partitioning demand, so adaptive execution may split it.
+    The slice is hashed rather than drawn at random, so that a retried task puts every row where
+    it was before. The explicit repartition also frees the join below it from a demand on its
+    partitioning, so adaptive execution may split that join.
     """
-    if n_heavy:
-        slices = heavy.select(key, "slices")
-        df = df.join(broadcast_if_small(slices, n_heavy), key, "left").withColumn(
-            "slice",
-            F.when(F.col("slices").isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64(*spread_by), F.col("slices")))
-            .cast("int"),
-        ).drop("slices")
-    else:
-        df = df.withColumn("slice", F.lit(0))
-    placed = df.repartition(shuffle_partitions(df.sparkSession), key, "slice")
-    return SlicedRows(placed, key, heavy, n_heavy)
+    key, join_keys = heavy.key, [heavy.key]
+    if heavy:
+        join_keys = [key, "slice"]
+        slice_no = F.pmod(F.xxhash64(*spread_by), F.col("slices")).cast("int")
+        df = (
+            df.join(heavy.for_join(key, "slices"), key, "left")
+            .withColumn("slice", F.coalesce(slice_no, F.lit(0)))
+            .drop("slices")
+        )
+    return SlicedRows(
+        df.repartition(shuffle_partitions(df.sparkSession), *join_keys), join_keys, heavy
+    )

@@ -39,7 +39,7 @@ def build_adjacency(
     neighbours: the list of a hub would not fit one row, so it comes in several blocks which
     together hold every neighbour, ``num_neighbours`` still being the node's total.
     """
-    heavy, n_heavy = heavy_keys(edges, "source", neighbours_per_block)
+    heavy = heavy_keys(edges, "source", neighbours_per_block)
     # Parallel edges meet before the lists are built; a pair of more copies than a block holds is
     # cut into runs, which can then lie in different blocks.
     runs = (
@@ -66,19 +66,20 @@ def build_adjacency(
         F.lit(0).alias("copies"),
         F.lit(0).alias("run"),
     ).distinct()
-    sliced = slice_rows(
-        runs.unionByName(bare_targets), heavy, n_heavy, "source", ["target", "run"]
-    )
+    sliced = slice_rows(runs.unionByName(bare_targets), heavy, ["target", "run"])
     listed = F.when(F.col("copies") > 0, F.array_repeat("target", F.col("copies")))
-    blocks = sliced.rows.groupBy(F.col("source").alias("id"), F.col("slice").alias("block")).agg(
+    blocks = sliced.rows.groupBy(*sliced.join_keys).agg(
         F.sum("copies").cast("bigint").alias("num_neighbours"),
         F.sort_array(F.flatten(F.collect_list(listed))).alias("neighbours"),
     )
-    if n_heavy:
-        totals = heavy.select(F.col("source").alias("id"), "n_rows")
+    block = F.lit(0)
+    if heavy:
+        block = F.col("slice")
         blocks = (
-            blocks.join(totals, "id", "left")
+            blocks.join(heavy.for_join("source", "n_rows"), "source", "left")
             .filter(F.col("n_rows").isNull() | (F.col("num_neighbours") > 0))
             .withColumn("num_neighbours", F.coalesce("n_rows", "num_neighbours"))
         )
-    return blocks.select("id", "num_neighbours", "block", "neighbours")
+    return blocks.select(
+        F.col("source").alias("id"), "num_neighbours", block.alias("block"), "neighbours"
+    )

@@ -31,8 +31,12 @@ def diff_by_position(
     ``order_by`` has to order the rows of a side completely. White space within the values is
     ignored. A row without partner differs.
     """
-    left = _positioned(expected, order_by, columns).withColumnRenamed("values", "left_values")
-    right = _positioned(actual, order_by, columns).withColumnRenamed("values", "right_values")
+
+    def positioned(df: DataFrame, values: str) -> DataFrame:
+        return number_rows(df.withColumn(values, _values(columns)), order_by, [values])
+
+    left = positioned(expected, "left_values")
+    right = positioned(actual, "right_values")
     return _summary(left.join(right, "position", "full"))
 
 
@@ -43,7 +47,7 @@ def diff_by_key(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) ->
     def keyed(df: DataFrame, side: str) -> DataFrame:
         return df.select(
             *[F.col(k).alias(f"{side}_{k}") for k in keys],
-            F.array(*[squeeze(F.col(c).cast("string")) for c in columns]).alias(f"{side}_values"),
+            _values(columns).alias(f"{side}_values"),
         )
 
     left, right = keyed(expected, "left"), keyed(actual, "right")
@@ -75,10 +79,9 @@ def diff_as_multiset(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
-def _positioned(df: DataFrame, order_by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    return number_rows(df, list(order_by)).select(
-        "position", F.array(*[squeeze(F.col(c).cast("string")) for c in columns]).alias("values")
-    )
+def _values(columns: Sequence[str]) -> Column:
+    """The compared values of a row as text, without white space."""
+    return F.array(*[squeeze(F.col(c).cast("string")) for c in columns])
 
 
 def _summary(pairs: DataFrame) -> DataFrame:

@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velograph.functions import round_exact
-from velograph.layout import cut_lineage, heavy_keys, shuffle_partitions, slice_rows
-from velograph.layout.skew import ROWS_PER_TASK
+from velograph.layout import (
+    ROWS_PER_TASK,
+    cut_lineage,
+    heavy_keys,
+    shuffle_partitions,
+    slice_rows,
+)
 
 
 def pagerank(
@@ -33,11 +38,15 @@ def pagerank(
     if direction not in ("in", "out"):
         raise ValueError(f"direction must be 'in' or 'out', not {direction!r}")
     giver, taker = ("source", "target") if direction == "in" else ("target", "source")
-    edges = edges.select("source", "target").na.drop()
-    heavy, n_heavy = heavy_keys(edges, giver, rows_per_task)
-    links = edges.groupBy("source", "target").agg(F.count("*").alias("copies"))
-    sliced = slice_rows(links, heavy, n_heavy, giver, [taker])
-    placed = sliced.rows.sortWithinPartitions(giver, "slice").persist()
+    links = (
+        edges.select("source", "target")
+        .na.drop()
+        .groupBy("source", "target")
+        .agg(F.count("*").alias("copies"))
+        .persist()
+    )
+    sliced = slice_rows(links, heavy_keys(links, giver, rows_per_task), [taker])
+    placed = sliced.rows.sortWithinPartitions(*sliced.join_keys).persist()
     nodes = (
         placed.select(F.col("source").alias("id"), F.col("copies").alias("degree"))
         .union(placed.select("target", F.lit(0).cast("bigint")))
@@ -54,11 +63,10 @@ def pagerank(
             shares = sliced.spread(
                 ranks.filter(F.col("degree") > 0).select(
                     F.col("id").alias(giver), (F.col("pagerank") / F.col("degree")).alias("share")
-                ),
-                giver,
+                )
             )
             received = (
-                placed.join(shares, [giver, "slice"])
+                placed.join(shares, sliced.join_keys)
                 .groupBy(F.col(taker).alias("id"))
                 .agg(F.sum(F.col("share") * F.col("copies")).alias("received"))
             )
@@ -74,8 +82,8 @@ def pagerank(
                 ranks = cut_lineage(ranks)
         return cut_lineage(ranks.select("id", "pagerank"))
     finally:
-        nodes.unpersist()
-        placed.unpersist()
+        for kept in (nodes, placed, links):
+            kept.unpersist()
 
 
 def rank_listing(ranks: DataFrame) -> DataFrame:

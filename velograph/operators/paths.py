@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from velograph.layout import cut_lineage, heavy_keys, slice_rows
-from velograph.layout.skew import ROWS_PER_TASK
+from velograph.layout import ROWS_PER_TASK, SlicedRows, cut_lineage, heavy_keys, slice_rows
 from velograph.operators.adjacency import distinct_nodes
 
 
@@ -34,10 +33,10 @@ def shortest_paths(
         .groupBy("source", "target")
         .agg(F.min("weight").cast("bigint").alias("weight"))
         .filter(F.col("weight").isNotNull())
+        .persist()
     )
-    heavy, n_heavy = heavy_keys(edges, "source", rows_per_task)
-    sliced = slice_rows(hops, heavy, n_heavy, "source", ["target"])
-    placed = sliced.rows.sortWithinPartitions("source", "slice").persist()
+    sliced = slice_rows(hops, heavy_keys(hops, "source", rows_per_task), ["target"])
+    placed = sliced.rows.sortWithinPartitions(*sliced.join_keys).persist()
     try:
         id_type = edges.schema["source"].dataType
         reached = edges.sparkSession.range(1).select(
@@ -58,6 +57,7 @@ def shortest_paths(
             n_improved = observed.get["n_improved"]
     finally:
         placed.unpersist()
+        hops.unpersist()
 
     domain = distinct_nodes(edges) if include_sinks else edges.select(F.col("source").alias("id")).distinct()
     return (
@@ -81,12 +81,12 @@ def _check_edges(edges: DataFrame) -> None:
         raise ValueError(f"{facts['n_negative']} edges have a negative weight")
 
 
-def _relax(reached: DataFrame, sliced, placed: DataFrame) -> DataFrame:
+def _relax(reached: DataFrame, sliced: SlicedRows, placed: DataFrame) -> DataFrame:
     """One round: extend the improved nodes by one hop and keep the best per node."""
     frontier = sliced.spread(
-        reached.filter("improved").select(F.col("id").alias("source"), "best"), "source"
+        reached.filter("improved").select(F.col("id").alias("source"), "best")
     )
-    extended = placed.join(frontier, ["source", "slice"]).select(
+    extended = placed.join(frontier, sliced.join_keys).select(
         F.col("target").alias("id"),
         F.struct(
             (F.col("best.cost") + F.col("weight")).alias("cost"),

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from velograph.layout import broadcast_if_small, cut_lineage, heavy_keys, shuffle_partitions
-from velograph.layout.skew import ROWS_PER_TASK
+from velograph.layout import ROWS_PER_TASK, cut_lineage, heavy_keys, shuffle_partitions
 
 
 def top_n_vehicles(trips: DataFrame, top_n: int) -> DataFrame:
@@ -41,6 +40,7 @@ def vehicle_relocations(
     bike_id: int | None = None,
     tie_break: Sequence[str] = ("trip_id",),
     rows_per_task: int = ROWS_PER_TASK,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Moves of a vehicle between two trips, ordered by the time the move starts.
 
@@ -50,21 +50,21 @@ def vehicle_relocations(
     ``tie_break`` and at last the station names, so the result does not depend on the input order.
 
     A vehicle with more than ``rows_per_task`` trips is not handled in one task, see
-    ``_split_by_time``.
+    ``_split_by_time``. Such vehicles are found by counting ``trips``, or ``count_from`` where
+    another table has the same ``bike_id`` values and is cheaper to read.
     """
     order = ["start_time", "stop_time", *tie_break, "start_station_name", "stop_station_name"]
-    rides = trips.filter(F.col("bike_id").isNotNull())
-    if bike_id is not None:
-        rides = rides.filter(F.col("bike_id") == bike_id)
-    rides = rides.select("bike_id", *order)
+    wanted = F.col("bike_id").isNotNull() if bike_id is None else F.col("bike_id") == bike_id
+    rides = trips.filter(wanted).select("bike_id", *order)
+    counted = rides if count_from is None else count_from.filter(wanted)
 
-    heavy, n_heavy = heavy_keys(rides, "bike_id", rows_per_task)
-    if n_heavy == 0:
+    heavy = heavy_keys(counted, "bike_id", rows_per_task)
+    if not heavy:
         moves = _moves(rides, ["bike_id"], order)
     else:
-        heavy = broadcast_if_small(heavy.select("bike_id"), n_heavy)
-        light_rides = rides.join(heavy, "bike_id", "left_anti")
-        heavy_rides = _split_by_time(rides.join(heavy, "bike_id", "left_semi"), order)
+        heavy_ids = heavy.for_join("bike_id")
+        light_rides = rides.join(heavy_ids, "bike_id", "left_anti")
+        heavy_rides = _split_by_time(rides.join(heavy_ids, "bike_id", "left_semi"), order)
         moves = _moves(light_rides, ["bike_id"], order).unionByName(
             _moves(heavy_rides, ["bike_id", "chunk"], order)
         )

@@ -56,11 +56,15 @@ def station_trip_balance_parties(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vehicle_relocations(spark: SparkSession, folder: str) -> DataFrame:
-    return op.vehicle_relocations(trips(spark, folder), VEHICLE, TRIP_TIE_BREAK)
+    return op.vehicle_relocations(
+        trips(spark, folder), VEHICLE, TRIP_TIE_BREAK, count_from=rides(spark, folder)
+    )
 
 
 def vehicle_relocations_all(spark: SparkSession, folder: str) -> DataFrame:
-    return op.vehicle_relocations(trips(spark, folder), None, TRIP_TIE_BREAK)
+    return op.vehicle_relocations(
+        trips(spark, folder), None, TRIP_TIE_BREAK, count_from=rides(spark, folder)
+    )
 
 
 def relocation_flags(spark: SparkSession, folder: str) -> DataFrame:
