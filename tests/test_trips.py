@@ -1,0 +1,159 @@
+"""Station balance, top vehicles and relocations."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from velograph import operators as op
+
+SCHEMA = (
+    "bike_id INT, start_time STRING, stop_time STRING, trip_duration INT, "
+    "start_station_name STRING, stop_station_name STRING, trip_id INT"
+)
+
+
+@pytest.fixture
+def make_trips(spark):
+    return lambda data: spark.createDataFrame(data, SCHEMA)
+
+
+def random_trips(n, bikes, stations, times, hot_share=0.0, seed=1):
+    """Trips with many equal start times; ``hot_share`` of them belong to bike 0."""
+    draw = random.Random(seed)
+    data = []
+    for i in range(n):
+        bike = 0 if draw.random() < hot_share else draw.randrange(bikes)
+        start = draw.randrange(times)
+        data.append((bike, f"{start:06d}", f"{start + draw.randrange(5):06d}", draw.randrange(100),
+                     f"s{draw.randrange(stations)}", f"s{draw.randrange(stations)}", i))
+    return data
+
+
+def moves_by_hand(data, bike_id=None):
+    """Moves found by walking through each vehicle's sorted trips."""
+    moves = []
+    trips = sorted(data, key=lambda t: (t[0], t[1], t[2], t[6]))
+    for before, after in zip(trips, trips[1:]):
+        if before[0] == after[0] and before[5] != after[4] and bike_id in (None, after[0]):
+            moves.append((after[0], before[2], before[5], after[1], after[4]))
+    return sorted(moves)
+
+
+# Stations
+
+
+@pytest.mark.parametrize("balance", [op.station_trip_balance, op.station_trip_balance_join])
+def test_balance_counts_every_trip_twice(make_trips, rows, balance):
+    data = random_trips(500, 5, 7, 50)
+    got = rows(balance(make_trips(data)))
+    departures, arrivals = Counter(t[4] for t in data), Counter(t[5] for t in data)
+    assert got == [(s, departures[s], arrivals[s]) for s in sorted(departures | arrivals)]
+    assert sum(r[1] for r in got) == sum(r[2] for r in got) == 500
+
+
+@pytest.mark.parametrize("balance", [op.station_trip_balance, op.station_trip_balance_join])
+def test_balance_of_missing_stations(make_trips, rows, balance):
+    """A missing station matches nothing and is not counted, on either side."""
+    trips = make_trips([
+        (1, "1", "2", 1, None, "B", 1), (1, "3", "4", 1, "A", None, 2), (1, "5", "6", 1, None, None, 3)])
+    named = [("A", 1, 0), ("B", 0, 1)]
+    assert rows(balance(trips)) == [(None, 0, 0), (None, 0, 0)] + named
+    assert rows(balance(trips, drop_null_station=True)) == named
+
+
+@pytest.mark.parametrize("balance", [op.station_trip_balance, op.station_trip_balance_join])
+def test_balance_with_one_side_missing_only(make_trips, rows, balance):
+    trips = make_trips([(1, "1", "2", 1, None, "B", 1), (1, "3", "4", 1, "A", "B", 2)])
+    assert rows(balance(trips)) == [(None, 0, 0), ("A", 1, 0), ("B", 0, 2)]
+
+
+@pytest.mark.parametrize("balance", [op.station_trip_balance, op.station_trip_balance_join])
+def test_balance_of_nothing(make_trips, rows, balance):
+    assert rows(balance(make_trips([]))) == []
+
+
+# Vehicles
+
+
+def test_top_n_breaks_ties_by_id(make_trips, rows):
+    trips = make_trips([(b, "1", "2", 10, "A", "B", b) for b in (5, 3, 9, 1)])
+    assert rows(op.top_n_vehicles(trips, 3)) == [(1, 10, 1), (3, 10, 1), (5, 10, 1)]
+
+
+def test_top_n_counts_trip_ids_and_sums_past_int(make_trips, rows):
+    big = 2**31 - 1
+    trips = make_trips([(1, "1", "2", big, "A", "B", 1), (1, "1", "2", big, "A", "B", None),
+                        (2, "1", "2", None, "A", "B", 3)])
+    assert rows(op.top_n_vehicles(trips, 5)) == [(1, 2 * big, 1), (2, None, 1)]
+
+
+def test_top_n_of_many(make_trips, rows):
+    data = random_trips(2000, 50, 4, 100, hot_share=0.4)
+    total, count = Counter(), Counter(t[0] for t in data)
+    for t in data:
+        total[t[0]] += t[3]
+    ranked = sorted(total, key=lambda b: (-total[b], b))[:10]
+    assert rows(op.top_n_vehicles(make_trips(data), 10)) == [(b, total[b], count[b]) for b in ranked]
+
+
+# Relocations
+
+
+def test_relocations_of_one_vehicle(make_trips, rows):
+    data = random_trips(300, 4, 3, 500)
+    for bike in range(4):
+        expected = [m[1:] for m in moves_by_hand(data, bike)]
+        assert sorted(rows(op.vehicle_relocations(make_trips(data), bike))) == expected
+
+
+def test_relocations_in_order_of_their_start(make_trips, rows):
+    starts = [r[0] for r in rows(op.vehicle_relocations(make_trips(random_trips(300, 1, 3, 500)), 0))]
+    assert len(starts) > 100 and starts == sorted(starts)
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 7, 100, 10**6])
+def test_relocations_of_hot_vehicles(make_trips, rows, rows_per_task):
+    """However few trips a task may take, the moves stay the same."""
+    data = random_trips(1000, 20, 3, 60, hot_share=0.35)
+    got = rows(op.vehicle_relocations(make_trips(data), rows_per_task=rows_per_task))
+    assert sorted(got) == moves_by_hand(data)
+
+
+def test_relocations_of_one_hot_vehicle_at_one_instant(make_trips, rows):
+    """All trips start at the same time: only the tie-breaker can split them."""
+    data = [(1, "7", "8", 1, f"s{i % 3}", f"s{i % 4}", i) for i in range(400)]
+    got = rows(op.vehicle_relocations(make_trips(data), 1, rows_per_task=20))
+    assert sorted(got) == [m[1:] for m in moves_by_hand(data, 1)]
+
+
+def test_hot_vehicle_is_spread_over_tasks(make_trips):
+    """No chunk of a hot vehicle's history holds more than its share."""
+    from velograph.operators.vehicles import _split_by_time
+
+    data = random_trips(4000, 1, 3, 5, hot_share=1.0)
+    order = ["start_time", "stop_time", "trip_id", "start_station_name", "stop_station_name"]
+    chunks = _split_by_time(make_trips(data).select("bike_id", *order), order)
+    sizes = [r["count"] for r in chunks.groupBy("chunk").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1000
+    assert sum(sizes) == 4000 + 7  # each chunk but the first repeats one ride
+
+
+def test_relocations_do_not_cross_vehicles(make_trips, rows):
+    trips = make_trips([(1, "1", "2", 1, "A", "B", 1), (2, "3", "4", 1, "C", "D", 2)])
+    assert rows(op.vehicle_relocations(trips)) == []
+
+
+def test_relocations_skip_missing_names(make_trips, rows):
+    """A missing station is no move; a station called ``null`` is a station."""
+    trips = make_trips([
+        (1, "1", "2", 1, "A", None, 1), (1, "3", "4", 1, "B", "null", 2), (1, "5", "6", 1, None, "C", 3),
+        (1, "7", "8", 1, "C", "null", 4), (1, "9", "9", 1, "D", "D", 5), (None, "1", "2", 1, "A", "B", 6)])
+    assert rows(op.vehicle_relocations(trips)) == [(1, "8", "null", "9", "D")]
+
+
+def test_relocations_count_from_another_table(make_trips, rows):
+    data = random_trips(500, 5, 3, 60, hot_share=0.5)
+    trips = make_trips(data)
+    got = rows(op.vehicle_relocations(trips, rows_per_task=50, count_from=trips.select("bike_id")))
+    assert sorted(got) == moves_by_hand(data)

@@ -186,8 +186,8 @@ ORACLE_SQL: dict[str, str] = {
         WHERE target IN (SELECT id FROM settled WHERE cost = -1)""",
     "result_diff": f"""WITH {FLOW}, {_PAIRS}
         SELECT count(p.source) AS left_rows, count(c.source) AS right_rows,
-               count_if(p.weight IS DISTINCT FROM c.weight) AS differing_rows,
-               count_if(p.weight IS DISTINCT FROM c.weight) = 0 AS passed
+               count(*) FILTER (WHERE p.weight IS DISTINCT FROM c.weight) AS differing_rows,
+               count(*) FILTER (WHERE p.weight IS DISTINCT FROM c.weight) = 0 AS passed
         FROM pairs p FULL JOIN changed c ON p.source = c.source AND p.target = c.target""",
     "result_diff_positional": f"""WITH {FLOW}, {_PAIRS},
         l AS (SELECT *, row_number() OVER (ORDER BY source, target) AS position FROM pairs),
@@ -195,8 +195,10 @@ ORACLE_SQL: dict[str, str] = {
         j AS (SELECT l.position AS lp, r.position AS rp,
                      (l.source, l.target, l.weight) IS DISTINCT FROM (r.source, r.target, r.weight) AS differs
               FROM l FULL JOIN r ON l.position = r.position)
-        SELECT count(lp) AS left_rows, count(rp) AS right_rows, count_if(differs) AS differing_rows,
-               count_if(differs) = 0 AS passed FROM j""",
+        SELECT count(lp) AS left_rows, count(rp) AS right_rows,
+               count(*) FILTER (WHERE differs) AS differing_rows,
+               count(*) FILTER (WHERE differs) = 0 AS passed
+        FROM j""",
     "result_diff_unordered": f"""WITH {FLOW}, {TRADE},
         one AS (SELECT * FROM flow EXCEPT ALL SELECT * FROM trade),
         two AS (SELECT * FROM trade EXCEPT ALL SELECT * FROM flow)
