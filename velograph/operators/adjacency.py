@@ -13,8 +13,7 @@ NEIGHBOURS_PER_BLOCK = 1_000_000
 
 def distinct_nodes(edges: DataFrame) -> DataFrame:
     """All node ids, sources and targets, once each, in column ``id``."""
-    sources = edges.select(F.col("source").alias("id"))
-    return sources.union(edges.select("target")).distinct()
+    return edges.select(F.explode(F.array("source", "target")).alias("id")).distinct()
 
 
 def node_count(edges: DataFrame) -> DataFrame:
@@ -39,18 +38,23 @@ def build_adjacency(
     neighbours: the list of a hub would not fit one row, so it comes in several blocks which
     together hold every neighbour, ``num_neighbours`` still being the node's total.
     """
+    edges = edges.select("source", "target").na.drop()
     heavy = heavy_keys(edges, "source", neighbours_per_block)
+    # Each edge also names its target as a node without neighbour, so that sinks are kept.
+    edge = F.struct("source", "target", F.lit(1).alias("copies"))
+    bare_target = F.struct(
+        F.col("target").alias("source"),
+        F.lit(None).cast(edges.schema["target"].dataType).alias("target"),
+        F.lit(0).alias("copies"),
+    )
     # Parallel edges meet before the lists are built; a pair of more copies than a block holds is
     # cut into runs, which can then lie in different blocks.
+    last_run = F.greatest(F.ceil(F.col("copies") / neighbours_per_block).cast("int"), F.lit(1)) - 1
     runs = (
-        edges.groupBy("source", "target")
-        .agg(F.count("*").alias("copies"))
-        .withColumn(
-            "run",
-            F.explode(
-                F.sequence(F.lit(0), F.ceil(F.col("copies") / neighbours_per_block).cast("int") - 1)
-            ),
-        )
+        edges.select(F.inline(F.array(edge, bare_target)))
+        .groupBy("source", "target")
+        .agg(F.sum("copies").alias("copies"))
+        .withColumn("run", F.explode(F.sequence(F.lit(0), last_run)))
         .withColumn(
             "copies",
             F.least(
@@ -59,14 +63,7 @@ def build_adjacency(
             ).cast("int"),
         )
     )
-    # Every target also stands as a node of its own, with no neighbour.
-    bare_targets = edges.select(
-        F.col("target").alias("source"),
-        F.lit(None).cast(edges.schema["target"].dataType).alias("target"),
-        F.lit(0).alias("copies"),
-        F.lit(0).alias("run"),
-    ).distinct()
-    sliced = slice_rows(runs.unionByName(bare_targets), heavy, ["target", "run"])
+    sliced = slice_rows(runs, heavy, ["target", "run"])
     listed = F.when(F.col("copies") > 0, F.array_repeat("target", F.col("copies")))
     blocks = sliced.rows.groupBy(*sliced.join_keys).agg(
         F.sum("copies").cast("bigint").alias("num_neighbours"),

@@ -24,22 +24,40 @@ def shortest_paths(
 
     Each round relaxes the edges of the nodes that the round before improved, all at once, and
     merges the candidates by one grouped minimum; it ends when nothing improved, so the rounds
-    follow the number of hops of the best paths. Edges are hashed, sorted and kept once, those of
-    a hub sliced over tasks.
+    follow the number of hops of the best paths. Edges are read once, then hashed, sorted and
+    kept, those of a hub sliced over tasks.
     """
-    _check_edges(edges)
-    hops = (
-        edges.filter(F.col("source") != F.col("target"))
-        .groupBy("source", "target")
+    pairs = (
+        edges.groupBy("source", "target")
         .agg(F.min("weight").cast("bigint").alias("weight"))
-        .filter(F.col("weight").isNotNull())
         .persist()
     )
+    try:
+        _check_weights(pairs)
+        return _search(pairs, source_node, include_sinks, rows_per_task).orderBy("id")
+    finally:
+        pairs.unpersist()
+
+
+def _check_weights(pairs: DataFrame) -> None:
+    facts = pairs.agg(
+        F.count("*").alias("n_pairs"), F.count_if(F.col("weight") < 0).alias("n_negative")
+    ).first()
+    if not facts["n_pairs"]:
+        raise ValueError("no edges to search")
+    if facts["n_negative"]:
+        raise ValueError(f"{facts['n_negative']} pairs of nodes have a negative weight")
+
+
+def _search(
+    pairs: DataFrame, source_node: int, include_sinks: bool, rows_per_task: int
+) -> DataFrame:
+    hops = pairs.filter((F.col("source") != F.col("target")) & F.col("weight").isNotNull())
     sliced = slice_rows(hops, heavy_keys(hops, "source", rows_per_task), ["target"])
     placed = sliced.rows.sortWithinPartitions(*sliced.join_keys).persist()
     try:
-        id_type = edges.schema["source"].dataType
-        reached = edges.sparkSession.range(1).select(
+        id_type = pairs.schema["source"].dataType
+        reached = pairs.sparkSession.range(1).select(
             F.lit(source_node).cast(id_type).alias("id"),
             F.struct(
                 F.lit(0).cast("bigint").alias("cost"), F.lit(str(source_node)).alias("path")
@@ -57,30 +75,17 @@ def shortest_paths(
             n_improved = observed.get["n_improved"]
     finally:
         placed.unpersist()
-        hops.unpersist()
 
-    domain = distinct_nodes(edges) if include_sinks else edges.select(F.col("source").alias("id")).distinct()
-    return (
-        domain.join(reached, "id", "left")
-        .select(
+    nodes = distinct_nodes(pairs) if include_sinks else pairs.select(F.col("source").alias("id")).distinct()
+    return cut_lineage(
+        nodes.join(reached, "id", "left").select(
             "id",
             F.coalesce("best.cost", F.lit(-1)).alias("cost"),
             F.coalesce("best.path", F.lit("")).alias("path"),
         )
-        .orderBy("id")
     )
 
 
-def _check_edges(edges: DataFrame) -> None:
-    facts = edges.agg(
-        F.count("*").alias("n_edges"), F.count_if(F.col("weight") < 0).alias("n_negative")
-    ).first()
-    if not facts["n_edges"]:
-        raise ValueError("no edges to search")
-    if facts["n_negative"]:
-        raise ValueError(f"{facts['n_negative']} edges have a negative weight")
-
-
 def _relax(reached: DataFrame, sliced: SlicedRows, placed: DataFrame) -> DataFrame:
     """One round: extend the improved nodes by one hop and keep the best per node."""
     frontier = sliced.spread(

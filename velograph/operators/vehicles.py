@@ -28,10 +28,19 @@ def relocation_flags(trips: DataFrame, window: WindowSpec) -> DataFrame:
 
     ``window`` puts the trips of a vehicle in order.
     """
-    stop_before = F.lag("stop_station_name").over(window)
-    moved = stop_before != F.col("start_station_name")
-    return trips.withColumn("moved_from_station", F.when(moved, stop_before)).withColumn(
-        "moved_from_time", F.when(moved, F.lag("stop_time").over(window))
+    # The lags are columns first, so that each is computed once and not per use.
+    before = trips.withColumns(
+        {
+            "moved_from_station": F.lag("stop_station_name").over(window),
+            "moved_from_time": F.lag("stop_time").over(window),
+        }
+    )
+    moved = F.col("moved_from_station") != F.col("start_station_name")
+    return before.withColumns(
+        {
+            "moved_from_station": F.when(moved, F.col("moved_from_station")),
+            "moved_from_time": F.when(moved, F.col("moved_from_time")),
+        }
     )
 
 

@@ -27,25 +27,21 @@ def rides(spark: SparkSession, folder: str) -> DataFrame:
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
     """Every trip with its times and stations."""
-    nation = read_table(spark, folder, "nation").select("n_nationkey", "n_name")
-    suppliers = (
-        read_table(spark, folder, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_name").alias("start_station_name"))
-    )
-    customers = (
-        read_table(spark, folder, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.col("n_name").alias("stop_station_name"))
-    )
+    nation = read_table(spark, folder, "nation")
+    start = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("start_station_name"))
+    stop = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("stop_station_name"))
+    # Single tables are joined one by one: their sizes are known from the files, while that of a
+    # joined pair is overestimated and would make the larger side the broadcast one.
     orders = (
         read_table(spark, folder, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(read_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(stop, "c_nationkey")
         .select("o_orderkey", F.col("o_orderdate").alias("start_time"), "stop_station_name")
     )
     return (
         read_table(spark, folder, "lineitem")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(read_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(start, "s_nationkey")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("l_partkey").alias("bike_id"),
