@@ -127,6 +127,14 @@ def test_relocations_of_one_hot_vehicle_at_one_instant(make_trips, rows):
     assert sorted(got) == [m[1:] for m in moves_by_hand(data, 1)]
 
 
+def test_relocations_of_many_copies_of_one_trip(make_trips, rows):
+    """Each copy follows another; nothing but the row tells them apart."""
+    data = [(1, "7", "8", 1, "A", "B", 5)] * 500 + [(1, "1", "2", 1, "B", "C", 1), (2, "1", "2", 1, "A", "B", 2)]
+    got = rows(op.vehicle_relocations(make_trips(data), rows_per_task=50))
+    assert sorted(got) == moves_by_hand(data)
+    assert len(got) == 500
+
+
 def test_hot_vehicle_is_spread_over_tasks(make_trips):
     """No chunk of a hot vehicle's history holds more than its share."""
     from velograph.operators.vehicles import _split_by_time
@@ -157,3 +165,17 @@ def test_relocations_count_from_another_table(make_trips, rows):
     trips = make_trips(data)
     got = rows(op.vehicle_relocations(trips, rows_per_task=50, count_from=trips.select("bike_id")))
     assert sorted(got) == moves_by_hand(data)
+
+
+@pytest.mark.parametrize("rows_per_task", [20, 10**6])
+def test_flags_are_set_on_the_trip_after_a_move(make_trips, rows_per_task):
+    """Every trip comes back once, flagged or not; unknown vehicles are never flagged."""
+    data = random_trips(600, 6, 3, 60, hot_share=0.4)
+    data += [(None, f"{i:06d}", f"{i:06d}", 1, "A", "B", 10**6 + i) for i in range(50)]
+    flags = op.relocation_flags(make_trips(data), rows_per_task=rows_per_task).collect()
+    assert sorted(r.trip_id for r in flags) == sorted(t[6] for t in data)
+    assert {r.trip_id: r.trip_duration for r in flags} == {t[6]: t[3] for t in data}
+    got = [(r.bike_id, r.moved_from_time, r.moved_from_station, r.start_time, r.start_station_name)
+           for r in flags if r.moved_from_station is not None]
+    assert sorted(got) == moves_by_hand([t for t in data if t[0] is not None])
+    assert all(r.moved_from_time is None for r in flags if r.moved_from_station is None)

@@ -1,16 +1,18 @@
 """How rows are laid out over tasks: lineage cuts, hot keys and row positions."""
 
 from velograph.layout.lineage import cut_lineage, shuffle_partitions
-from velograph.layout.positions import number_rows
+from velograph.layout.positions import ROW_ID, number_rows, with_row_ids
 from velograph.layout.skew import ROWS_PER_TASK, HeavyKeys, SlicedRows, heavy_keys, slice_rows
 
 __all__ = [
     "HeavyKeys",
     "ROWS_PER_TASK",
+    "ROW_ID",
     "SlicedRows",
     "cut_lineage",
     "heavy_keys",
     "number_rows",
     "shuffle_partitions",
     "slice_rows",
+    "with_row_ids",
 ]

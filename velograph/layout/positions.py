@@ -13,14 +13,26 @@ from velograph.layout.lineage import cut_lineage
 _INDEX_BITS = 33
 
 
+# Column that with_row_ids adds.
+ROW_ID = "_row"
+
+
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """Add a column that tells even equal rows apart, as a last key for range partitioning.
+
+    With it any number of copies of a row splits over tasks. The ids depend on the order in which
+    the rows arrive, so they are written before use: a retried task must not draw them anew.
+    """
+    return cut_lineage(df.withColumn(ROW_ID, F.monotonically_increasing_id()))
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """The columns ``keep`` and ``position``: 1, 2, 3, ... in the order of ``order_by``.
 
     The rows are range-sorted over all tasks and written once; each row then knows its index
-    within its partition, and a table with one row per partition supplies the offsets. The row id
-    as last sort key keeps equal rows apart, so that any number of them splits over partitions.
+    within its partition, and a table with one row per partition supplies the offsets.
     """
-    sorted_rows = df.withColumn("_row", F.monotonically_increasing_id()).orderBy(*order_by, "_row")
+    sorted_rows = with_row_ids(df).orderBy(*order_by, ROW_ID)
     placed = cut_lineage(
         sorted_rows.select(
             *keep,

@@ -33,7 +33,7 @@ def diff_by_position(
     """
 
     def positioned(df: DataFrame, values: str) -> DataFrame:
-        return number_rows(df.withColumn(values, _values(columns)), order_by, [values])
+        return number_rows(df.select(*order_by, _values(columns).alias(values)), order_by, [values])
 
     left = positioned(expected, "left_values")
     right = positioned(actual, "right_values")

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from velograph.layout import ROWS_PER_TASK, cut_lineage, heavy_keys, shuffle_partitions
+from velograph.layout import (
+    ROW_ID,
+    ROWS_PER_TASK,
+    cut_lineage,
+    heavy_keys,
+    shuffle_partitions,
+    with_row_ids,
+)
 
 
 def top_n_vehicles(trips: DataFrame, top_n: int) -> DataFrame:
@@ -23,25 +30,23 @@ def top_n_vehicles(trips: DataFrame, top_n: int) -> DataFrame:
     )
 
 
-def relocation_flags(trips: DataFrame, window: WindowSpec) -> DataFrame:
-    """Add where and when a vehicle stood before a trip, NULL unless it was moved in between.
+def relocation_flags(
+    trips: DataFrame,
+    tie_break: Sequence[str] = ("trip_id",),
+    rows_per_task: int = ROWS_PER_TASK,
+    count_from: DataFrame | None = None,
+) -> DataFrame:
+    """Add ``moved_from_station`` and ``moved_from_time`` to every trip.
 
-    ``window`` puts the trips of a vehicle in order.
+    They tell where and since when the vehicle stood before it was moved to the start of the trip,
+    and are NULL when it was not moved. The arguments are those of ``vehicle_relocations``. Trips
+    of an unknown vehicle follow no other trip.
     """
-    # The lags are columns first, so that each is computed once and not per use.
-    before = trips.withColumns(
-        {
-            "moved_from_station": F.lag("stop_station_name").over(window),
-            "moved_from_time": F.lag("stop_time").over(window),
-        }
-    )
-    moved = F.col("moved_from_station") != F.col("start_station_name")
-    return before.withColumns(
-        {
-            "moved_from_station": F.when(moved, F.col("moved_from_station")),
-            "moved_from_time": F.when(moved, F.col("moved_from_time")),
-        }
-    )
+    known = trips.filter(F.col("bike_id").isNotNull())
+    unknown = trips.filter(F.col("bike_id").isNull())
+    counted = known if count_from is None else count_from
+    flagged = _flag(known, counted, _time_order(tie_break), rows_per_task)
+    return flagged.unionByName(unknown, allowMissingColumns=True)
 
 
 def vehicle_relocations(
@@ -62,37 +67,61 @@ def vehicle_relocations(
     ``_split_by_time``. Such vehicles are found by counting ``trips``, or ``count_from`` where
     another table has the same ``bike_id`` values and is cheaper to read.
     """
-    order = ["start_time", "stop_time", *tie_break, "start_station_name", "stop_station_name"]
+    order = _time_order(tie_break)
     wanted = F.col("bike_id").isNotNull() if bike_id is None else F.col("bike_id") == bike_id
     rides = trips.filter(wanted).select("bike_id", *order)
     counted = rides if count_from is None else count_from.filter(wanted)
+    moves = (
+        _flag(rides, counted, order, rows_per_task)
+        .filter(F.col("moved_from_station").isNotNull())
+        .select(
+            "bike_id",
+            F.col("moved_from_time").alias("start_time"),
+            F.col("moved_from_station").alias("start_station_name"),
+            F.col("start_time").alias("stop_time"),
+            F.col("start_station_name").alias("stop_station_name"),
+        )
+        .orderBy("start_time", "stop_time", "start_station_name", "stop_station_name", "bike_id")
+    )
+    return moves if bike_id is None else moves.drop("bike_id")
+
+
+def _time_order(tie_break: Sequence[str]) -> list[str]:
+    return ["start_time", "stop_time", *tie_break, "start_station_name", "stop_station_name"]
+
 
+def _flag(rides: DataFrame, counted: DataFrame, order: list[str], rows_per_task: int) -> DataFrame:
+    """Rides of known vehicles with their relocation flags, hot vehicles split over tasks."""
     heavy = heavy_keys(counted, "bike_id", rows_per_task)
     if not heavy:
-        moves = _moves(rides, ["bike_id"], order)
-    else:
-        heavy_ids = heavy.for_join("bike_id")
-        light_rides = rides.join(heavy_ids, "bike_id", "left_anti")
-        heavy_rides = _split_by_time(rides.join(heavy_ids, "bike_id", "left_semi"), order)
-        moves = _moves(light_rides, ["bike_id"], order).unionByName(
-            _moves(heavy_rides, ["bike_id", "chunk"], order)
-        )
+        return _look_back(rides, ["bike_id"], order)
+    heavy_ids = heavy.for_join("bike_id")
+    light_rides = rides.join(heavy_ids, "bike_id", "left_anti")
+    pieces = _split_by_time(rides.join(heavy_ids, "bike_id", "left_semi"), order)
+    heavy_rides = (
+        _look_back(pieces, ["bike_id", "chunk"], [F.desc("handed_on"), *order])
+        .filter(~F.col("handed_on"))
+        .drop("chunk", "handed_on")
+    )
+    return _look_back(light_rides, ["bike_id"], order).unionByName(heavy_rides)
 
-    in_order = moves.orderBy(
-        "start_time", "stop_time", "start_station_name", "stop_station_name", "bike_id"
+
+def _look_back(rides: DataFrame, groups: list[str], order: list[str | Column]) -> DataFrame:
+    """Relocation flags from the ride before, within each group."""
+    by_time = Window.partitionBy(*groups).orderBy(*order)
+    # The lags are columns first, so that each is computed once and not per use.
+    before = rides.withColumns(
+        {
+            "moved_from_station": F.lag("stop_station_name").over(by_time),
+            "moved_from_time": F.lag("stop_time").over(by_time),
+        }
     )
-    return in_order if bike_id is None else in_order.drop("bike_id")
-
-
-def _moves(rides: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
-    """Moves within each group of ordered rides."""
-    flagged = relocation_flags(rides, Window.partitionBy(*groups).orderBy(*order))
-    return flagged.filter(F.col("moved_from_station").isNotNull()).select(
-        "bike_id",
-        F.col("moved_from_time").alias("start_time"),
-        F.col("moved_from_station").alias("start_station_name"),
-        F.col("start_time").alias("stop_time"),
-        F.col("start_station_name").alias("stop_station_name"),
+    moved = F.col("moved_from_station") != F.col("start_station_name")
+    return before.withColumns(
+        {
+            "moved_from_station": F.when(moved, F.col("moved_from_station")),
+            "moved_from_time": F.when(moved, F.col("moved_from_time")),
+        }
     )
 
 
@@ -100,20 +129,22 @@ def _split_by_time(rides: DataFrame, order: list[str]) -> DataFrame:
     """Rides with a column ``chunk`` that cuts each vehicle's history into pieces of one task.
 
     A range partitioning on vehicle and time gives the pieces. It is written once, so every reader
-    sees the same cuts. The last ride before a piece is added to it: being the earliest there, it
-    yields no move itself, but lets the first ride of the piece look back.
+    sees the same cuts. The last ride before a piece is repeated at its head, marked
+    ``handed_on``, to let the first ride of the piece look back.
     """
+    n_pieces = shuffle_partitions(rides.sparkSession)
     placed = cut_lineage(
-        rides.repartitionByRange(
-            shuffle_partitions(rides.sparkSession), "bike_id", *order
-        ).withColumn("chunk", F.spark_partition_id())
+        with_row_ids(rides)
+        .repartitionByRange(n_pieces, "bike_id", *order, ROW_ID)
+        .drop(ROW_ID)
+        .withColumn("chunk", F.spark_partition_id())
     )
     # One row per vehicle and piece, so no more rows than pieces plus vehicles.
     last_rides = placed.groupBy("bike_id", "chunk").agg(F.max(F.struct(*order)).alias("last"))
     by_chunk = Window.partitionBy("bike_id").orderBy("chunk")
-    handed_on = (
+    heads = (
         last_rides.withColumn("chunk_after", F.lead("chunk").over(by_chunk))
         .filter(F.col("chunk_after").isNotNull())
-        .select("bike_id", "last.*", F.col("chunk_after").alias("chunk"))
+        .select("bike_id", "last.*", F.col("chunk_after").alias("chunk"), F.lit(True).alias("handed_on"))
     )
-    return placed.unionByName(handed_on)
+    return placed.withColumn("handed_on", F.lit(False)).unionByName(heads, allowMissingColumns=True)

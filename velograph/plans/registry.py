@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velograph import operators as op
@@ -69,8 +69,9 @@ def vehicle_relocations_all(spark: SparkSession, folder: str) -> DataFrame:
 
 def relocation_flags(spark: SparkSession, folder: str) -> DataFrame:
     """Every trip, with the columns that say whether its vehicle was moved to it."""
-    by_time = Window.partitionBy("bike_id").orderBy("start_time", "stop_time", *TRIP_TIE_BREAK)
-    return op.relocation_flags(trips(spark, folder), by_time)
+    return op.relocation_flags(
+        trips(spark, folder), TRIP_TIE_BREAK, count_from=rides(spark, folder)
+    )
 
 
 def cheapest_pair(spark: SparkSession, folder: str) -> DataFrame:
