@@ -81,6 +81,9 @@ def vehicle_relocations(
             F.col("start_time").alias("stop_time"),
             F.col("start_station_name").alias("stop_station_name"),
         )
+        # A global sort reads its input twice, first to find its ranges. Shuffled rows are simply
+        # read again, where the window, the costliest stage, would run again.
+        .repartition("start_time", "stop_time", "bike_id")
         .orderBy("start_time", "stop_time", "start_station_name", "stop_station_name", "bike_id")
     )
     return moves if bike_id is None else moves.drop("bike_id")
