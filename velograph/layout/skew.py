@@ -19,18 +19,31 @@ BROADCAST_ROWS = 1_000_000
 # Rows of one key that a single task may take.
 ROWS_PER_TASK = 5_000_000
 
+# Rows that are worth a partition of their own.
+ROWS_PER_PARTITION = 100_000
+
 
 @dataclass
 class HeavyKeys:
-    """Keys with too many rows for one task: ``key, n_rows, slices``, and how many there are."""
+    """Keys with too many rows for one task: ``key, n_rows, slices``, and how many there are.
+
+    ``total_rows`` is the number of rows of all keys.
+    """
 
     table: DataFrame
     key: str
     count: int
+    total_rows: int
 
     def __bool__(self) -> bool:
         return self.count > 0
 
+    @property
+    def partitions(self) -> int:
+        """Partitions to place the rows in: what the session asks for, fewer for few rows."""
+        worth = -(-self.total_rows // ROWS_PER_PARTITION)
+        return max(1, min(worth, shuffle_partitions(self.table.sparkSession)))
+
     def for_join(self, *columns: str) -> DataFrame:
         """``columns`` of the table, broadcast when its counted size allows it.
 
@@ -47,15 +60,17 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> HeavyKeys:
     ``slices`` is the number of tasks to spread such a key over. The pass reads one column and
     combines before its shuffle, so a hot key costs it nothing. NULL is never a heavy key.
     """
-    heavy = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("n_rows"))
-        .filter(F.col("n_rows") > rows_per_task)
-        .withColumn("slices", F.ceil(F.col("n_rows") / rows_per_task).cast("int"))
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows"))
+    is_heavy = F.col("n_rows") > rows_per_task
+    facts = counts.agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"), F.count_if(is_heavy).alias("n_heavy")
+    ).first()
+    heavy = counts.filter(is_heavy).withColumn(
+        "slices", F.ceil(F.col("n_rows") / rows_per_task).cast("int")
     )
-    count = heavy.count()
-    return HeavyKeys(cut_lineage(heavy) if count else heavy, key, count)
+    if facts["n_heavy"]:
+        heavy = cut_lineage(heavy)
+    return HeavyKeys(heavy, key, facts["n_heavy"], facts["total"])
 
 
 @dataclass
@@ -95,6 +110,4 @@ def slice_rows(df: DataFrame, heavy: HeavyKeys, spread_by: list[str]) -> SlicedR
             .withColumn("slice", F.coalesce(slice_no, F.lit(0)))
             .drop("slices")
         )
-    return SlicedRows(
-        df.repartition(shuffle_partitions(df.sparkSession), *join_keys), join_keys, heavy
-    )
+    return SlicedRows(df.repartition(heavy.partitions, *join_keys), join_keys, heavy)

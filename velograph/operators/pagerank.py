@@ -10,7 +10,6 @@ from velograph.layout import (
     ROWS_PER_TASK,
     cut_lineage,
     heavy_keys,
-    shuffle_partitions,
     slice_rows,
 )
 
@@ -52,7 +51,7 @@ def pagerank(
         .union(placed.select("target", F.lit(0).cast("bigint")))
         .groupBy("id")
         .agg(F.sum("degree").alias("degree"))
-        .repartition(shuffle_partitions(edges.sparkSession), "id")
+        .repartition(sliced.heavy.partitions, "id")
         .persist()
     )
     try:
