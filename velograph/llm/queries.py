@@ -6,10 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from velograph.llm.common import read_table
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
+from velograph.llm.packing import pack_documents
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(read_table(spark, folder, "documents"), tokenizer_path())
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents").select("doc_id", "text")
     found = contamination_columns(find_benchmark_text(documents, read_table(spark, folder, "benchmark")))
@@ -47,5 +58,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM cut LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
 
-QUERIES = {"op5_decontamination": op5_decontamination}
+QUERIES = {"op2_packing": op2_packing, "op5_decontamination": op5_decontamination}
 ORACLE_SQLS = {"op5_decontamination": _OP5_SQL}
