@@ -28,7 +28,7 @@ CAPACITY = 2048
 END_ID = 1
 # Longest piece of a document's rest, and windows that are packed together.
 PIECE_TOKENS = 512
-WINDOWS_PER_GROUP = 64
+WINDOWS_PER_GROUP = 128
 
 _ROW_BITS = 40
 _TAIL_MARK = 1 << 62
@@ -91,11 +91,10 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
 
 
 def cut_points(tokens: int, capacity: int, piece: int) -> list[tuple[int, int]]:
-    """Start and length of a document's pieces: whole windows, then equal parts of the rest."""
-    whole, rest = divmod(tokens, capacity)
-    parts = -(-rest // piece)
-    edges = [whole * capacity + rest * k // max(parts, 1) for k in range(parts + 1)]
-    return [(k * capacity, capacity) for k in range(whole)] + [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+    """Start and length of a document's pieces: whole windows, then smaller ones, then the remainder."""
+    whole = tokens - tokens % capacity
+    starts = [*range(0, whole, capacity), *range(whole, tokens, piece)]
+    return [(a, b - a) for a, b in zip(starts, [*starts[1:], tokens], strict=True)]
 
 
 def pack_documents(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from velograph.llm.common import read_table
+from velograph.llm.common import Workspace, read_table
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
 from velograph.llm.packing import pack_documents
+from velograph.llm.warc import read_archives, write_archives
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -17,6 +18,35 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages").select("page_id", "url", "html")
+    archives = write_archives(pages, Workspace(spark))
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP1_SQL = """
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages),
+bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ['0000', '0001', '0010', '0011', '0100',
+    '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111']
+    [strpos('0123456789abcdef', substr(h, i, 1))]), '') AS b
+  FROM hashed),
+digests AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(b, 5 * i + 1, 1) AS INT)
+      + 8 * CAST(substr(b, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(b, 5 * i + 3, 1) AS INT)
+      + 2 * CAST(substr(b, 5 * i + 4, 1) AS INT) + CAST(substr(b, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest
+  FROM bits),
+chosen AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS kept FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN kept IS NULL OR page_id IS NOT DISTINCT FROM kept THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN kept IS NULL OR page_id IS NOT DISTINCT FROM kept THEN NULL ELSE kept END AS refers_to
+FROM chosen
+"""
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(read_table(spark, folder, "documents"), tokenizer_path())
 
@@ -58,5 +88,5 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM cut LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
 
-QUERIES = {"op2_packing": op2_packing, "op5_decontamination": op5_decontamination}
-ORACLE_SQLS = {"op5_decontamination": _OP5_SQL}
+QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op5_decontamination": op5_decontamination}
+ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op5_decontamination": _OP5_SQL}
