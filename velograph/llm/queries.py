@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from velograph.llm.common import Workspace, read_table
+from velograph.llm import quality, toxicity
+from velograph.llm.common import Workspace, crc32_fold, read_table
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
 from velograph.llm.packing import pack_documents
+from velograph.llm.training import HELD_OUT
 from velograph.llm.warc import read_archives, write_archives
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,6 +54,22 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(read_table(spark, folder, "documents"), tokenizer_path())
 
 
+def _scored(spark: SparkSession, folder: str, method) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    model = method.train(documents, read_table(spark, folder, "labels"))
+    scored = method.score(documents.select("doc_id", "text"), model, result="score")
+    held_out = (crc32_fold("doc_id") == HELD_OUT).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= method.CUT).cast("int").alias("predicted"))
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, quality)
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, toxicity)
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents").select("doc_id", "text")
     found = contamination_columns(find_benchmark_text(documents, read_table(spark, folder, "benchmark")))
@@ -88,5 +107,11 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM cut LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
 
-QUERIES = {"op1_warc": op1_warc, "op2_packing": op2_packing, "op5_decontamination": op5_decontamination}
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
+    "op5_decontamination": op5_decontamination,
+    "op7_toxicity": op7_toxicity,
+}
 ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op5_decontamination": _OP5_SQL}

@@ -173,13 +173,12 @@ def write_archives(
     archives. Other columns are not archived.
     """
     chosen = choose_responses(pages, work, min_bytes)
-    sample = (
-        pages.select("page_id", F.encode("html", "UTF-8").alias("payload"))
-        .where(F.octet_length("payload").between(1, SAMPLE_RECORD_BYTES))
-        .orderBy(F.xxhash64("page_id", "payload"))
-        .limit(SAMPLE_RECORDS)
-        .collect()
-    )
+    records = pages.select("page_id", F.encode("html", "UTF-8").alias("payload"))
+    records = records.where(F.octet_length("payload").between(1, SAMPLE_RECORD_BYTES))
+    records = records.withColumn("order", F.xxhash64("page_id", "payload"))
+    # Only hashes are ranked; the records themselves are fetched afterwards, few from each task.
+    last = records.select("order").orderBy("order").limit(SAMPLE_RECORDS).agg(F.max("order")).first()[0]
+    sample = records.where(F.col("order") <= last).limit(SAMPLE_RECORDS).collect() if last is not None else []
     records = [record_bytes(r[0], None, bytes(r[1]), payload_digest(bytes(r[1])), None, False, "") for r in sample]
     dictionary = train_dictionary(records)
     folder = f"{work.folder}/warc-{uuid4().hex}"
