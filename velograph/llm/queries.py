@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from velograph.llm import quality, toxicity
 from velograph.llm.common import Workspace, crc32_fold, read_table
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
+from velograph.llm.minhash import near_duplicates
 from velograph.llm.packing import pack_documents
 from velograph.llm.training import HELD_OUT
 from velograph.llm.warc import read_archives, write_archives
@@ -107,11 +108,38 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM cut LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
 """
 
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read_table(spark, folder, "documents"))
+
+
+_OP9_SQL = rf"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, CAST(greatest(len(w) - 3, 2) AS BIGINT))) AS i FROM cut WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  WHERE 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM cut
+  UNION SELECT reach.doc_id, links.v FROM reach JOIN links ON reach.r = links.u),
+least_id AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least_id LEFT JOIN sizes USING (doc_id)
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op5_decontamination": op5_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op9_minhash": op9_minhash,
 }
-ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op5_decontamination": _OP5_SQL}
+ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op5_decontamination": _OP5_SQL, "op9_minhash": _OP9_SQL}
