@@ -10,6 +10,7 @@ from velograph.llm.common import Workspace, crc32_fold, read_table
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
 from velograph.llm.minhash import near_duplicates
 from velograph.llm.packing import pack_documents
+from velograph.llm.suffixes import remove_repeats, repeat_columns
 from velograph.llm.training import HELD_OUT
 from velograph.llm.warc import read_archives, write_archives
 
@@ -134,12 +135,40 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM least_id LEFT JOIN sizes USING (doc_id)
 """
 
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    return repeat_columns(remove_repeats(documents)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+_OP8_SQL = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, CAST(len(h) // 2 - 199 AS BIGINT))) AS i FROM texts WHERE len(h) >= 400)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS n FROM starts) WHERE n > 1),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i > lag(i) OVER w + 200 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  FROM again WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+runs AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY doc_id, run),
+lists AS (
+  SELECT doc_id, list(a ORDER BY a) AS froms, list(b ORDER BY a) AS tos, sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN froms IS NULL THEN unhex(h) ELSE unhex(substr(h, 1, 2 * froms[1]) || array_to_string(list_transform(
+    range(1, len(froms) + 1), lambda k: substr(h, CAST(2 * tos[k] + 1 AS BIGINT), CAST(CASE WHEN k < len(froms)
+      THEN 2 * (froms[k + 1] - tos[k]) ELSE len(h) END AS BIGINT))), '')) END) AS kept_sha256
+FROM texts LEFT JOIN lists USING (doc_id)
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op5_decontamination": op5_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op8_suffixes": op8_suffixes,
     "op9_minhash": op9_minhash,
 }
-ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op5_decontamination": _OP5_SQL, "op9_minhash": _OP9_SQL}
+ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op5_decontamination": _OP5_SQL, "op8_suffixes": _OP8_SQL, "op9_minhash": _OP9_SQL}
