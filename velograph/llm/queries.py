@@ -12,6 +12,7 @@ from velograph.llm.minhash import near_duplicates
 from velograph.llm.packing import pack_documents
 from velograph.llm.suffixes import remove_repeats, repeat_columns
 from velograph.llm.training import HELD_OUT
+from velograph.llm.vectors import near_duplicate_vectors
 from velograph.llm.warc import read_archives, write_archives
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -162,13 +163,36 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
 FROM texts LEFT JOIN lists USING (doc_id)
 """
 
+def op4_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_vectors(read_table(spark, folder, "embeddings"))
+
+
+_OP4_SQL = """
+WITH RECURSIVE able AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM able a JOIN able b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings
+  UNION SELECT reach.vec_id, links.v FROM reach JOIN links ON reach.r = links.u),
+least_id AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM least_id
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
+    "op4_vectors": op4_vectors,
     "op5_decontamination": op5_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_suffixes": op8_suffixes,
     "op9_minhash": op9_minhash,
 }
-ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op5_decontamination": _OP5_SQL, "op8_suffixes": _OP8_SQL, "op9_minhash": _OP9_SQL}
+ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op4_vectors": _OP4_SQL, "op5_decontamination": _OP5_SQL, "op8_suffixes": _OP8_SQL, "op9_minhash": _OP9_SQL}
