@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from velograph.llm import quality, toxicity
 from velograph.llm.common import Workspace, crc32_fold, read_table
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
+from velograph.llm.htmltext import extract_text
 from velograph.llm.minhash import near_duplicates
 from velograph.llm.packing import pack_documents
 from velograph.llm.suffixes import remove_repeats, repeat_columns
+from velograph.llm.tokencounts import count_tokens
 from velograph.llm.training import HELD_OUT
 from velograph.llm.vectors import near_duplicate_vectors
 from velograph.llm.warc import read_archives, write_archives
@@ -136,6 +138,15 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM least_id LEFT JOIN sizes USING (doc_id)
 """
 
+def op6_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents").select("doc_id", "text")
+    return count_tokens(documents, tokenizer_path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
+def op10_html(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(read_table(spark, folder, "pages"))
+
+
 def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents").select("doc_id", "text")
     return repeat_columns(remove_repeats(documents)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -191,8 +202,10 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_vectors": op4_vectors,
     "op5_decontamination": op5_decontamination,
+    "op6_tokens": op6_tokens,
     "op7_toxicity": op7_toxicity,
     "op8_suffixes": op8_suffixes,
     "op9_minhash": op9_minhash,
+    "op10_html": op10_html,
 }
 ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op4_vectors": _OP4_SQL, "op5_decontamination": _OP5_SQL, "op8_suffixes": _OP8_SQL, "op9_minhash": _OP9_SQL}

@@ -51,9 +51,18 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     head = np.zeros(size, dtype=np.uint64)
     for k in range(8):
         head = (head << np.uint64(8)) | padded[k : k + size]
+    return refined_order(head, 8, depth)[0]
+
+
+def refined_order(head: np.ndarray, done: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order, and which of them open a group of suffixes that are tied.
+
+    ``head`` orders suffixes by their first ``done`` symbols. Each round doubles that depth, sorting
+    tied suffixes by the ranks of what follows, until it is at least ``depth`` or no ties are left.
+    """
+    size = len(head)
     order = np.argsort(head, kind="stable")
-    opens = np.r_[True, head[order][1:] != head[order][:-1]]
-    done = 8
+    opens = np.r_[True, head[order][1:] != head[order][:-1]][:size]
     # A group's rank is the place of its first suffix; the end of the text ranks before all.
     rank = np.full(size + 1, -1, dtype=np.int64)
     rank[order] = np.maximum.accumulate(np.where(opens, np.arange(size), 0))
@@ -70,7 +79,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         opens[tied] = np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])]
         rank[own] = np.maximum.accumulate(np.where(opens[tied], tied, 0))
         done *= 2
-    return order
+    return order, opens
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
