@@ -2,9 +2,11 @@
 
 Documents with equal shingle sets become one class first. A class has MinHash samples; groups of
 samples make band keys, and the samples folded into a parity bitmap make its odd sketch: the bits in
-which two sketches differ tell how many samples differ, precisely where similarity is high. Classes
-that share a band key are candidates; the sketches drop those that are clearly apart, and the full
-shingle sets decide about the rest.
+which two sketches differ tell how many samples differ, precisely where similarity is high. A set of
+few shingles is its own sample and is folded whole; two such sketches never differ in more bits than
+the sets do in shingles, so that bound drops no pair that is similar enough. Classes that share a band
+key are candidates; the sketches drop those that are clearly apart, and the full shingle sets decide
+about the rest.
 
 No bucket is expanded into all its pairs. Each member is first compared with the bucket's smallest
 id, which joins almost every group of copies. Only buckets that still hold members of different
@@ -42,6 +44,9 @@ SKETCH_WORDS = 8
 # Pairs whose sketches put them below this similarity are not compared in full. Of pairs at the
 # threshold the samples of one in about 10 to the 11th look so far apart.
 SKETCH_FLOOR = 0.60
+# Sets of at most so many shingles are folded whole, into so many 64-bit words.
+WHOLE_SHINGLES = 1024
+WHOLE_WORDS = 16
 
 _SAMPLES = BANDS * BAND_SAMPLES
 _LOWER = lower_ascii()
@@ -106,6 +111,20 @@ def odd_sketches(samples: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
     return sketch
 
 
+def whole_sketches(sets: list[np.ndarray]) -> list[np.ndarray | None]:
+    """Parity bitmaps of all shingles of each set; none for sets of too many."""
+    out: list[np.ndarray | None] = []
+    bits = 64 * WHOLE_WORDS
+    for at in range(0, len(sets), 1000):
+        few = [s if len(s) <= WHOLE_SHINGLES else s[:0] for s in sets[at : at + 1000]]
+        row = np.repeat(np.arange(len(few)), [len(s) for s in few])
+        place = (np.concatenate(few) % np.uint64(bits)).astype(np.int64) + row * bits
+        odd = (np.bincount(place, minlength=len(few) * bits) & 1).astype(np.uint8)
+        words = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(few), WHOLE_WORDS)
+        out += [w if len(s) else None for w, s in zip(words, few, strict=True)]
+    return out
+
+
 def sketch_similarity(differing_bits: float, samples: int = _SAMPLES, words: int = SKETCH_WORDS) -> float:
     """The similarity that so many differing bits speak for."""
     size = 64 * words
@@ -118,14 +137,15 @@ def _most_differing_bits(floor: float) -> int:
 
 
 def _signatures(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, two sums that tell sets apart, band keys and sketch (null for empty sets)."""
+    """doc_id, n_shingles, two sums that tell sets apart, band keys and sketches (null for empty sets)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chain.from_iterable(slices(b, "text") for b in batches):
             sets = shingle_sets(texts_of(batch, "text"), shingle)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             full = np.flatnonzero(sizes)
-            keys, sketches, sums = [None] * len(sets), [None] * len(sets), np.zeros((len(sets), 2), dtype=np.uint64)
+            keys, sketches, wholes = ([None] * len(sets) for _ in range(3))
+            sums = np.zeros((len(sets), 2), dtype=np.uint64)
             if len(full):
                 samples = min_samples([sets[k] for k in full])
                 with np.errstate(over="ignore"):
@@ -135,8 +155,9 @@ def _signatures(documents: DataFrame, shingle: int) -> DataFrame:
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, k])
                     for k in full:
                         sums[k] = sets[k].sum(dtype=np.uint64), mix(sets[k]).sum(dtype=np.uint64)
-                for k, own, bits in zip(full, key.view(np.int64), odd_sketches(samples).view(np.int64), strict=True):
-                    keys[k], sketches[k] = own, bits
+                made = key.view(np.int64), odd_sketches(samples).view(np.int64), whole_sketches([sets[k] for k in full])
+                for k, own, bits, whole in zip(full, *made, strict=True):
+                    keys[k], sketches[k], wholes[k] = own, bits, whole
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -146,28 +167,36 @@ def _signatures(documents: DataFrame, shingle: int) -> DataFrame:
                     pa.array(sums[:, 1].view(np.int64)),
                     pa.array(keys, type=longs),
                     pa.array(sketches, type=longs),
+                    pa.array(wholes, type=longs),
                 ],
-                names=["doc_id", "n_shingles", "sum1", "sum2", "bands", "sketch"],
+                names=["doc_id", "n_shingles", "sum1", "sum2", "bands", "sketch", "whole"],
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.mapInArrow(
         work,
-        f"doc_id {kind}, n_shingles BIGINT, sum1 BIGINT, sum2 BIGINT, bands ARRAY<BIGINT>, sketch ARRAY<BIGINT>",
+        f"doc_id {kind}, n_shingles BIGINT, sum1 BIGINT, sum2 BIGINT, bands ARRAY<BIGINT>, sketch ARRAY<BIGINT>, "
+        "whole ARRAY<BIGINT>",
     )
 
 
 def _plausible(percent: int) -> Column:
     """Whether sizes and sketches of u and v allow the similarity asked for."""
     sizes = F.least("u_size", "v_size") * 100 >= F.greatest("u_size", "v_size") * percent
-    words = [F.bit_count(F.col("u_sketch")[k].bitwiseXOR(F.col("v_sketch")[k])) for k in range(SKETCH_WORDS)]
-    return sizes & (reduce(Column.__add__, words) <= _most_differing_bits(SKETCH_FLOOR))
+    near = _differing("sketch", SKETCH_WORDS) <= _most_differing_bits(SKETCH_FLOOR)
+    # Of a union of n shingles at most (100 - percent) n / 100 lie in one set only.
+    differ = _differing("whole", WHOLE_WORDS) * (100 + percent) <= (F.col("u_size") + F.col("v_size")) * (100 - percent)
+    return sizes & near & F.coalesce(differ, F.lit(True))
+
+
+def _differing(sketch: str, words: int) -> Column:
+    u, v = F.col(f"u_{sketch}"), F.col(f"v_{sketch}")
+    return reduce(Column.__add__, [F.bit_count(u[k].bitwiseXOR(v[k])) for k in range(words)])
 
 
 def _side(classes: DataFrame, name: str) -> DataFrame:
-    return classes.select(
-        F.col("rep").alias(name), F.col("n_shingles").alias(f"{name}_size"), F.col("sketch").alias(f"{name}_sketch")
-    )
+    renamed = {"rep": name, "n_shingles": f"{name}_size", "sketch": f"{name}_sketch", "whole": f"{name}_whole"}
+    return classes.select(*(F.col(c).alias(n) for c, n in renamed.items()))
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -217,7 +246,7 @@ def near_duplicates(
     classes = work.keep(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy(*same_set)
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("bands", "sketch", "whole")))
     )
     members = classes.select("rep", F.explode("bands").alias("key"))
     buckets = work.keep(
