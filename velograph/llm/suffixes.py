@@ -411,7 +411,9 @@ def remove_repeats(
     shard_stretches: int = SHARD_STRETCHES,
     result: str = "repeats",
 ) -> DataFrame:
-    """``documents`` with a struct ``result``: n_bytes, spans (merged, removed), kept (bytes).
+    """``documents`` with a struct ``result``: n_bytes, spans (merged, removed), kept (bytes), kept_text.
+
+    A character of which a part is removed is not in ``kept_text``.
 
     Each byte covered by a string of ``length`` bytes that starts anywhere else is removed, judged on
     the input. A null text is empty; texts shorter than ``length`` stay as they are. Equal rows repeat
@@ -433,6 +435,7 @@ def remove_repeats(
             ("n_bytes", pa.int64()),
             ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
             ("kept", pa.binary()),
+            ("kept_text", pa.string()),
         ]
     )
     schema = T.StructType([packed.schema["row"]]).add("text", "string").add("found", from_arrow_type(found_type))
@@ -453,7 +456,8 @@ def remove_repeats(
                 edges = [0, *(e for span in merged for e in span), size]
                 kept = b"".join(body[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2))
                 texts.append(body)
-                found.append({"n_bytes": size, "spans": [{"start": a, "end": b} for a, b in merged], "kept": kept})
+                found.append({"n_bytes": size, "spans": [{"start": a, "end": b} for a, b in merged]})
+                found[-1] |= {"kept": kept, "kept_text": kept.decode("utf-8", "ignore")}
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(texts, type=pa.binary()).cast(pa.string()), pa.array(found, type=found_type)],
                 names=["row", "text", "found"],
