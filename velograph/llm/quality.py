@@ -2,7 +2,7 @@
 
 A document's vector is the mean of the learned vectors of its words, word pairs and byte n-grams, and
 a softmax layer turns it into class probabilities. Training is stochastic gradient descent in numpy
-on a bounded sample of labelled documents; their hashed features are made by Spark. For scoring, the
+on a bounded sample of labelled documents, in one task. For scoring, the
 product of each vector with the output layer is one number per hash bucket, so a task reads each text
 once and averages looked-up numbers.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from velograph.llm.common import joined, mix, slices, texts_of, word_hashes, word_spans
-from velograph.llm.training import best_threshold, labelled_sample, shifted
+from velograph.llm.training import best_threshold, fit_in_one_task, labelled_sample, shifted
 
 # Labelled documents of each class that are learned from, at most.
 SAMPLE_PER_CLASS = 1500
@@ -90,27 +90,16 @@ class SubwordModel:
         return shifted(self.logits(texts), self.threshold, cut)
 
 
-def _sparse_features(sample: DataFrame) -> DataFrame:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(slices(b, "text", 1 << 18) for b in batches):
-            with np.errstate(over="ignore"):
-                buckets, owner = features(texts_of(batch, "text"))
-            keys, counts = np.unique(owner * (1 << BUCKET_BITS) + buckets, return_counts=True)
-            cuts = np.searchsorted(keys >> BUCKET_BITS, np.arange(batch.num_rows + 1))
-            keys &= (1 << BUCKET_BITS) - 1
-            rows = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("target"),
-                    pa.array([keys[r].astype("<i4").tobytes() for r in rows], type=pa.binary()),
-                    pa.array([counts[r].astype("<f4").tobytes() for r in rows], type=pa.binary()),
-                ],
-                names=["doc_id", "target", "buckets", "counts"],
-            )
-
-    kind = sample.schema["doc_id"].dataType.simpleString()
-    return sample.mapInArrow(work, f"doc_id {kind}, target INT, buckets BINARY, counts BINARY")
+def _sparse_features(batch: pa.RecordBatch) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Target, distinct buckets and their shares of each text's features."""
+    with np.errstate(over="ignore"):
+        buckets, owner = features(texts_of(batch, "text"))
+    keys, counts = np.unique(owner * (1 << BUCKET_BITS) + buckets, return_counts=True)
+    cuts = np.searchsorted(keys >> BUCKET_BITS, np.arange(batch.num_rows + 1))
+    keys = (keys & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
+    rows = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    shares = [(counts[r] / max(counts[r].sum(), 1)).astype(np.float32) for r in rows]
+    return list(zip(batch.column("target").to_pylist(), (keys[r] for r in rows), shares, strict=True))
 
 
 def descend(
@@ -151,14 +140,14 @@ def train(
     documents: DataFrame, labels: DataFrame, label: str = "quality", *, rows_per_class: int = SAMPLE_PER_CLASS
 ) -> SubwordModel:
     """Learn ``label`` (0 or 1) from a bounded sample; without labelled rows every score is the cut."""
-    sample = _sparse_features(labelled_sample(documents, labels, label, rows_per_class))
-    rows = sorted(sample.collect(), key=lambda r: r["doc_id"])
-    data, targets = [], np.array([r["target"] for r in rows], dtype=np.int64)
-    for row in rows:
-        counts = np.frombuffer(row["counts"], dtype="<f4")
-        data.append((np.frombuffer(row["buckets"], dtype="<i4"), counts / max(counts.sum(), 1)))
-    if not data:
+    return fit_in_one_task(labelled_sample(documents, labels, label, rows_per_class), _sparse_features, _fit)
+
+
+def _fit(entries: list[tuple[int, np.ndarray, np.ndarray]]) -> SubwordModel:
+    if not entries:
         return SubwordModel(np.zeros(1 << BUCKET_BITS, dtype=np.float32), 0.0, 0.0)
+    targets = np.array([t for t, _, _ in entries], dtype=np.int64)
+    data = [(b, s) for _, b, s in entries]
     order = np.random.default_rng(11).permutation(len(data))
     held = order[: int(len(data) * CALIBRATION_SHARE)]
     learned = np.setdiff1d(order, held)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from itertools import chain
+from typing import Any
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velograph.llm.common import crc32_fold
+from velograph.llm.common import crc32_fold, slices
 
 HELD_OUT = 2
 
@@ -33,6 +39,23 @@ def labelled_sample(
     )
 
 
+def fit_in_one_task(sample: DataFrame, prepare: Callable[[pa.RecordBatch], list[Any]], fit: Callable[[list[Any]], Any]) -> Any:
+    """Learn from a bounded sample in one task; only what ``fit`` returns comes to the driver.
+
+    ``prepare`` turns some rows into one entry each, ``fit`` gets the entries of all rows, by doc_id.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries: list[tuple] = []
+        for batch in chain.from_iterable(slices(b, "text", 1 << 18) for b in batches):
+            entries += zip(batch.column("doc_id").to_pylist(), prepare(batch), strict=True)
+        entries.sort(key=lambda e: e[0])
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(fit([e for _, e in entries]))]})
+
+    row = sample.repartition(1).mapInArrow(work, "model BINARY").first()
+    return pickle.loads(row[0]) if row else fit([])
+
+
 def sigmoid(values: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(values, -500, 500)))
 
