@@ -92,3 +92,17 @@ def test_numbering_splits_equal_rows(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sorted(r.position for r in df.collect()) == list(range(1, 4001))
     assert len(sizes) == 8 and max(sizes) < 1000
+
+
+def test_keyed_comparison_is_of_values_as_they_are(spark):
+    left = spark.createDataFrame([(1, "a b"), (2, None)], "k INT, v STRING")
+    assert not op.diff_by_key(left, spark.createDataFrame([(1, "ab"), (2, None)], "k INT, v STRING"), ["k"]).first()["passed"]
+    assert op.diff_by_key(left, left, ["k"]).first()["passed"]
+
+
+@pytest.mark.parametrize("other", ["k INT, v STRING, extra INT", "k BIGINT, v STRING", "k INT"])
+def test_other_columns_are_refused(spark, other):
+    left, right = spark.createDataFrame([], "k INT, v STRING"), spark.createDataFrame([], other)
+    for compare in (lambda: op.diff_by_key(left, right, ["k"]), lambda: op.diff_as_multiset(left, right)):
+        with pytest.raises(ValueError, match="columns differ"):
+            compare()

@@ -1,3 +1,4 @@
+import math
 """Column functions against their plain Python meaning."""
 
 import random
@@ -58,3 +59,15 @@ def test_row_line_is_printed_row(spark):
 def test_row_line_refuses_other_types(spark):
     with pytest.raises(TypeError):
         row_line(spark.createDataFrame([(1.5,)], "v DOUBLE"))
+
+
+def test_rounding_of_odd_values(spark, rows):
+    values = [float("inf"), -float("inf"), 1e18, -1e300, 1e300, 9.3e16, 2.0**52 + 1, -2.675, -0.005, 1e13 + 0.005, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    assert [r[0] for r in rows(df.select(round_exact(F.col("v"))))] == [round(v, 2) for v in values]
+    assert math.isnan(spark.sql("SELECT double('NaN') AS v").select(round_exact(F.col("v"))).first()[0])
+
+
+def test_squeeze_strips_every_kind_of_space(spark):
+    df = spark.createDataFrame([("\u3000\u1680 a \u2003\u202f",)], "v STRING")
+    assert df.select(squeeze(F.col("v"))).first()[0] == "a"

@@ -85,25 +85,41 @@ def test_adjacency_of_directed_edges(make_edges, rows):
     assert sorted(rows(op.out_degree(edges))) == [(2, 1), (5, 3)]
 
 
-@pytest.mark.parametrize("per_block", [1, 10, 64])
-def test_adjacency_of_a_hub_comes_in_blocks(make_edges, rows, per_block):
-    """Blocks of a hub together hold every neighbour, copies included."""
-    edges = random_edges(60, 600, 5, hub_share=0.4) + [(1, 2, 1)] * 150
-    got = rows(op.build_adjacency(make_edges(edges), per_block))
+@pytest.mark.parametrize("per_block", [1, 10, 100])
+def test_adjacency_comes_in_full_sorted_blocks(make_edges, rows, per_block):
+    """Hubs and parallel edges: every block but a node's last is full, and all are in order."""
+    edges = random_edges(60, 600, 5, hub_share=0.4) + [(1, 2, 1)] * 450 + [(70, 71, 1)]
     expected = defaultdict(list)
     for s, t, _ in edges:
         expected[s].append(t)
         expected[t] += []
-    joined = defaultdict(list)
-    for node, degree, _, neighbours in got:
-        assert degree == len(expected[node])
-        assert len(neighbours) <= degree and (neighbours or degree == 0)
-        joined[node] += neighbours
-    assert {n: sorted(v) for n, v in joined.items()} == {n: sorted(v) for n, v in expected.items()}
-    assert len({(n, b) for n, _, b, _ in got}) == len(got)
-    blocks = Counter(n for n, _, _, _ in got)
-    assert blocks[0] > 1 and blocks[1] > 1
-    assert all(blocks[n] == 1 for n in expected if len(expected[n]) <= per_block)
+    blocks = defaultdict(dict)
+    for node, degree, block, neighbours in rows(op.build_adjacency(make_edges(edges), per_block)):
+        assert degree == len(expected[node]) and block not in blocks[node]
+        blocks[node][block] = neighbours
+    assert set(blocks) == set(expected)
+    for node, own in blocks.items():
+        wanted = sorted(expected[node])
+        cut = [wanted[k : k + per_block] for k in range(0, len(wanted), per_block)] or [[]]
+        assert [own[k] for k in sorted(own)] == cut and sorted(own) == list(range(len(cut)))
+
+
+def test_incomplete_edges_are_refused_or_left_out_by_all(make_edges, rows):
+    edges = make_edges([(1, 2, 3), (None, 4, 1), (5, None, 1), (2, 1, None)])
+    whole = [
+        lambda e, **o: op.distinct_nodes(e, **o),
+        lambda e, **o: op.out_degree(e, **o),
+        lambda e, **o: op.build_adjacency(e, **o),
+        lambda e, **o: op.pagerank(e, **o),
+    ]
+    for operator in whole:
+        with pytest.raises(Exception, match="edge without source or target"):
+            operator(edges).collect()
+        assert {r[0] for r in rows(operator(edges, drop_incomplete=True))} == {1, 2}
+    with pytest.raises(Exception, match="edge without source or target or weight"):
+        op.shortest_paths(edges, 1).collect()
+    found = rows(op.shortest_paths(edges, 1, include_sinks=True, drop_incomplete=True))
+    assert found == [(1, 0, "1"), (2, 3, "1-2")]
 
 
 # PageRank
@@ -254,3 +270,30 @@ def test_single_steps(make_edges, rows):
     assert sorted(rows(op.edges_leaving(edges, best))) == [(2, 1, 1), (2, 3, 1)]
     assert sorted(rows(op.edges_to_unvisited(edges, settled))) == [(1, 3, 4), (2, 3, 1), (7, 3, 1)]
     assert rows(op.best_frontier_edge(paths, frontier.filter("false"))) == []
+
+
+def test_steps_ignore_loops(make_edges, rows):
+    edges = make_edges([(1, 1, 1), (1, 2, 5), (2, 2, 1), (2, 3, 1)])
+    paths, frontier = op.initial_paths(edges, 1), op.initial_frontier(edges, 1)
+    assert rows(frontier) == [(1, 2, 5)]
+    paths, frontier = op.advance(edges, paths, frontier)
+    assert sorted(rows(paths)) == [(1, 0, "1"), (2, 5, "1-2")]
+    assert rows(op.edges_leaving(edges, op.best_frontier_edge(op.initial_paths(edges, 1), op.initial_frontier(edges, 1)))) == [(2, 3, 1)]
+
+
+def test_used_edge_is_dropped_where_nothing_else_would_drop_it(make_edges, rows):
+    """The target stays open here, so only the used edge itself can be missing."""
+    frontier = make_edges([(1, 2, 5), (1, 2, 7), (1, 3, 9), (4, 2, 1)])
+    best = frontier.sparkSession.createDataFrame(
+        [(1, 2, 5, "1")], "candidate_source INT, candidate_target INT, candidate_cost BIGINT, candidate_path STRING")
+    assert sorted(rows(op.drop_used_edge(frontier, best))) == [(1, 3, 9), (4, 2, 1)]
+
+
+def test_plans_of_steps_do_not_grow(make_edges):
+    edges = make_edges(both_ways(WEIGHTED_PAIRS))
+    paths, frontier = op.initial_paths(edges, 1), op.initial_frontier(edges, 1)
+    leaves = []
+    for _ in range(4):
+        paths, frontier = op.advance(edges, paths, frontier)
+        leaves.append(len(frontier._jdf.queryExecution().optimizedPlan().collectLeaves().toList().mkString("\n").split("\n")))
+    assert len(set(leaves)) == 1

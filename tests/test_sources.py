@@ -3,6 +3,7 @@
 import pytest
 
 from velograph import operators as op
+from velograph.sources.listings import LINE_ORDER
 from velograph.sources import (
     rank_listing_lines,
     read_edges,
@@ -40,7 +41,7 @@ def test_trip_files_end_to_end(spark, folder, rows):
         ("station", "string"), ("num_departure_trips", "bigint"), ("num_arrival_trips", "bigint")]
     top = op.top_n_vehicles(trips, 1)
     assert rows(top) == [(7, 2100, 3)]
-    assert top.dtypes == [("bike_id", "int"), ("totalTime", "bigint"), ("numTrips", "bigint")]
+    assert top.dtypes == [("bike_id", "bigint"), ("totalTime", "bigint"), ("numTrips", "bigint")]
     moves = op.vehicle_relocations(trips, 7)
     assert rows(moves) == [("2019/05/06 08:10:00", "B St", "2019/05/06 09:00:00", "C St")]
     assert [t for _, t in moves.dtypes] == ["string"] * 4
@@ -50,7 +51,7 @@ def test_trip_types(spark, folder):
     types = dict(read_trips(spark, folder(a=TRIPS)).dtypes)
     assert len(types) == 16
     assert types["start_time"] == "string" and types["trip_duration"] == "int"
-    assert types["start_station_latitude"] == "float" and types["trip_id"] == "int"
+    assert types["start_station_latitude"] == "float" and types["trip_id"] == "bigint"
 
 
 def test_quotes_are_ordinary_characters(spark, folder):
@@ -79,7 +80,7 @@ def test_all_files_of_a_folder_but_hidden_ones(spark, folder, rows):
 def test_loose_edges_become_null(spark, folder, rows):
     edges = read_edges(spark, folder(a="1 2 3\nx 2 3\n1 2\n"))
     assert rows(edges) == [(1, 2, 3), (None, 2, 3), (1, 2, None)]
-    assert edges.dtypes == [("source", "int"), ("target", "int"), ("weight", "int")]
+    assert edges.dtypes == [("source", "bigint"), ("target", "bigint"), ("weight", "int")]
 
 
 def test_strict_edges_strip_the_line_and_ignore_the_weight(spark, folder, rows):
@@ -124,3 +125,20 @@ def test_listing_lines_keep_their_order_over_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [r.line for r in ordered] == lines
+
+
+def test_ids_past_32_bits_survive(spark, folder, rows):
+    path = folder(a="3000000000 1 1\n1 3000000000 2\n")
+    for reader in (read_edges, read_edges_strict):
+        edges = reader(spark, path)
+        assert sorted(rows(edges)) == [(1, 3000000000, 2), (3000000000, 1, 1)]
+        assert sorted(r[0] for r in rows(op.pagerank(edges))) == [1, 3000000000]
+        assert rows(op.shortest_paths(edges, 1)) == [(1, 0, "1"), (3000000000, 2, "1-3000000000")]
+
+
+def test_part_files_follow_their_number(spark, tmp_path, rows):
+    for number in (100000, 99999, 3):
+        (tmp_path / f"part-{number:05d}-x.txt").write_text(f"{number}\n")
+    (tmp_path / "other.txt").write_text("other\n")
+    lines = read_listing(spark, str(tmp_path)).orderBy(*LINE_ORDER)
+    assert [r["line"] for r in lines.collect()] == ["other", "3", "99999", "100000"]

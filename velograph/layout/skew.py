@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from velograph.layout.lineage import cut_lineage, shuffle_partitions
+from velograph.layout.lineage import cut_lineage
 
 # A side of at most this many narrow rows (a key and a count, some tens of MB) may be broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -40,9 +40,8 @@ class HeavyKeys:
 
     @property
     def partitions(self) -> int:
-        """Partitions to place the rows in: what the session asks for, fewer for few rows."""
-        worth = -(-self.total_rows // ROWS_PER_PARTITION)
-        return max(1, min(worth, shuffle_partitions(self.table.sparkSession)))
+        """Partitions to place the rows in: as many as their number is worth."""
+        return max(1, -(-self.total_rows // ROWS_PER_PARTITION))
 
     def for_join(self, *columns: str) -> DataFrame:
         """``columns`` of the table, broadcast when its counted size allows it.
@@ -61,16 +60,15 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> HeavyKeys:
     combines before its shuffle, so a hot key costs it nothing. NULL is never a heavy key.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows"))
-    is_heavy = F.col("n_rows") > rows_per_task
-    facts = counts.agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"), F.count_if(is_heavy).alias("n_heavy")
-    ).first()
-    heavy = counts.filter(is_heavy).withColumn(
-        "slices", F.ceil(F.col("n_rows") / rows_per_task).cast("int")
+    observed = Observation()
+    heavy = (
+        counts.observe(observed, F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total"))
+        .filter(F.col("n_rows") > rows_per_task)
+        .withColumn("slices", F.ceil(F.col("n_rows") / rows_per_task).cast("int"))
     )
-    if facts["n_heavy"]:
-        heavy = cut_lineage(heavy)
-    return HeavyKeys(heavy, key, facts["n_heavy"], facts["total"])
+    # Written once: the counts are not made again for the keys that are heavy.
+    heavy = cut_lineage(heavy)
+    return HeavyKeys(heavy, key, heavy.count(), observed.get["total"])
 
 
 @dataclass

@@ -2,44 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velograph.layout import heavy_keys, slice_rows
+from velograph.layout import cut_lineage
 
 # Neighbours in one list: 8 MB of BIGINT ids.
 NEIGHBOURS_PER_BLOCK = 1_000_000
 
 
-def distinct_nodes(edges: DataFrame) -> DataFrame:
+def complete_edges(edges: DataFrame, *columns: str, drop_incomplete: bool = False) -> DataFrame:
+    """``columns`` of the edges, which all need a value, for use by every graph operator.
+
+    An edge without one fails the query, or is left out with ``drop_incomplete``.
+    """
+    if drop_incomplete:
+        return edges.select(*columns).na.drop()
+    shown = F.concat_ws(", ", *(F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns))
+    wrong = F.raise_error(F.concat(F.lit(f"edge without {' or '.join(columns)}: "), shown))
+    return edges.select(
+        *(F.coalesce(c, wrong.cast(edges.schema[c].dataType)).alias(c) for c in columns)
+    )
+
+
+def distinct_nodes(edges: DataFrame, drop_incomplete: bool = False) -> DataFrame:
     """All node ids, sources and targets, once each, in column ``id``."""
+    edges = complete_edges(edges, "source", "target", drop_incomplete=drop_incomplete)
     return edges.select(F.explode(F.array("source", "target")).alias("id")).distinct()
 
 
-def node_count(edges: DataFrame) -> DataFrame:
+def node_count(edges: DataFrame, drop_incomplete: bool = False) -> DataFrame:
     """Number of distinct nodes, as one row ``num_nodes``."""
-    return distinct_nodes(edges).agg(F.count("*").alias("num_nodes"))
+    return distinct_nodes(edges, drop_incomplete).agg(F.count("*").alias("num_nodes"))
 
 
-def out_degree(edges: DataFrame) -> DataFrame:
+def out_degree(edges: DataFrame, drop_incomplete: bool = False) -> DataFrame:
     """Outgoing edges per source, parallel edges included: ``id``, ``num_neighbours``."""
-    return edges.groupBy(F.col("source").alias("id")).agg(F.count("*").alias("num_neighbours"))
+    edges = complete_edges(edges, "source", "target", drop_incomplete=drop_incomplete)
+    return edges.groupBy(F.col("source").alias("id")).agg(F.count("target").alias("num_neighbours"))
 
 
 def build_adjacency(
-    edges: DataFrame, neighbours_per_block: int = NEIGHBOURS_PER_BLOCK
+    edges: DataFrame,
+    neighbours_per_block: int = NEIGHBOURS_PER_BLOCK,
+    drop_incomplete: bool = False,
 ) -> DataFrame:
     """Out-degree and out-neighbours per node: ``id, num_neighbours, block, neighbours``.
 
     Parallel edges repeat the neighbour, weights are ignored, and a node without outgoing edges
-    has ``num_neighbours`` 0 and an empty list. Lists are sorted.
+    has ``num_neighbours`` 0 and an empty list.
 
-    A node has one row, with ``block`` 0, unless it has more than ``neighbours_per_block``
-    neighbours: the list of a hub would not fit one row, so it comes in several blocks which
-    together hold every neighbour, ``num_neighbours`` still being the node's total.
+    A node's sorted neighbours come in blocks of ``neighbours_per_block``, numbered from 0 without
+    gaps, the last one holding what is left: block k has the neighbours k * size to (k + 1) * size
+    - 1. ``num_neighbours`` is the node's total in each of them.
+
+    Parallel edges are combined, and the pairs range-sorted over all tasks and written once. A
+    pair's place among its node's neighbours follows from running sums within each partition and
+    one offset per partition, so no task holds more of a hub than a partition or a block.
     """
-    edges = edges.select("source", "target").na.drop()
-    heavy = heavy_keys(edges, "source", neighbours_per_block)
+    edges = complete_edges(edges, "source", "target", drop_incomplete=drop_incomplete)
     # Each edge also names its target as a node without neighbour, so that sinks are kept.
     edge = F.struct("source", "target", F.lit(1).alias("copies"))
     bare_target = F.struct(
@@ -47,36 +68,48 @@ def build_adjacency(
         F.lit(None).cast(edges.schema["target"].dataType).alias("target"),
         F.lit(0).alias("copies"),
     )
-    # Parallel edges meet before the lists are built; a pair of more copies than a block holds is
-    # cut into runs, which can then lie in different blocks.
-    last_run = F.greatest(F.ceil(F.col("copies") / neighbours_per_block).cast("int"), F.lit(1)) - 1
-    runs = (
+    sorted_pairs = (
         edges.select(F.inline(F.array(edge, bare_target)))
         .groupBy("source", "target")
         .agg(F.sum("copies").alias("copies"))
-        .withColumn("run", F.explode(F.sequence(F.lit(0), last_run)))
-        .withColumn(
-            "copies",
-            F.least(
-                F.lit(neighbours_per_block),
-                F.col("copies") - F.col("run") * neighbours_per_block,
-            ).cast("int"),
+        .orderBy("source", F.asc_nulls_first("target"))
+    )
+    placed = cut_lineage(sorted_pairs.withColumn("_part", F.spark_partition_id()))
+    # One row per partition: small whatever the data, hence the unpartitioned window and broadcast.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.sum("copies").alias("_sum"))
+    offsets = offsets.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    before = Window.partitionBy("_part").orderBy("source", F.asc_nulls_first("target"))
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = placed.withColumn("_before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
+    numbered = cut_lineage(
+        numbered.join(F.broadcast(offsets), "_part").select(
+            "source", "target", "copies", (F.col("_before") + F.col("_offset")).alias("place")
+        )
+    )
+    # Written: the join below is then of two plain exchanges, and adaptive execution splits a hub.
+    nodes = cut_lineage(
+        numbered.groupBy("source").agg(
+            F.min("place").alias("first"), F.sum("copies").alias("num_neighbours")
         )
     )
-    sliced = slice_rows(runs, heavy, ["target", "run"])
-    listed = F.when(F.col("copies") > 0, F.array_repeat("target", F.col("copies")))
-    blocks = sliced.rows.groupBy(*sliced.join_keys).agg(
-        F.sum("copies").cast("bigint").alias("num_neighbours"),
-        F.sort_array(F.flatten(F.collect_list(listed))).alias("neighbours"),
+    size = F.lit(neighbours_per_block)
+    start = F.col("place") - F.col("first")
+    first_block = F.floor(start / size)
+    last_block = F.floor((start + F.greatest(F.col("copies"), F.lit(1)) - 1) / size)
+    # A node's bare row stands in front, at place 0, and adds no neighbour.
+    in_block = F.least(start + F.col("copies"), (F.col("block") + 1) * size) - F.greatest(
+        start, F.col("block") * size
     )
-    block = F.lit(0)
-    if heavy:
-        block = F.col("slice")
-        blocks = (
-            blocks.join(heavy.for_join("source", "n_rows"), "source", "left")
-            .filter(F.col("n_rows").isNull() | (F.col("num_neighbours") > 0))
-            .withColumn("num_neighbours", F.coalesce("n_rows", "num_neighbours"))
+    return (
+        numbered.join(nodes, "source")
+        .withColumn("block", F.explode(F.sequence(first_block, last_block)))
+        .withColumn("listed", F.array_repeat("target", in_block.cast("int")))
+        .where((F.col("copies") > 0) | (F.col("num_neighbours") == 0))
+        .groupBy(F.col("source").alias("id"), F.col("block").cast("int").alias("block"))
+        .agg(
+            F.first("num_neighbours").alias("num_neighbours"),
+            F.sort_array(F.flatten(F.collect_list("listed"))).alias("neighbours"),
         )
-    return blocks.select(
-        F.col("source").alias("id"), "num_neighbours", block.alias("block"), "neighbours"
+        .select("id", "num_neighbours", "block", "neighbours")
     )

@@ -41,13 +41,17 @@ def diff_by_position(
 
 
 def diff_by_key(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Compare rows with equal ``keys``, which have to be unique on each side and may be NULL."""
+    """Compare rows with equal ``keys``, which have to be unique on each side and may be NULL.
+
+    Values are compared as they are; both sides must have the same columns and types.
+    """
+    _check_same_columns(expected, actual)
     columns = [c for c in expected.columns if c not in keys]
 
     def keyed(df: DataFrame, side: str) -> DataFrame:
         return df.select(
             *[F.col(k).alias(f"{side}_{k}") for k in keys],
-            _values(columns).alias(f"{side}_values"),
+            F.struct(F.lit(True).alias("_"), *columns).alias(f"{side}_values"),
         )
 
     left, right = keyed(expected, "left"), keyed(actual, "right")
@@ -61,8 +65,10 @@ def diff_as_multiset(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Compare the sides as bags of whole rows, in any order.
 
     ``differing_rows`` counts the rows that ``exceptAll`` would leave in either direction. Equal
-    rows are combined before the shuffle, however many there are.
+    rows are combined before the shuffle, however many there are. Both sides must have the same
+    columns and types.
     """
+    _check_same_columns(expected, actual)
     columns = expected.columns
     signed = expected.withColumn("_copies", F.lit(1)).unionByName(
         actual.select(*columns).withColumn("_copies", F.lit(-1))
@@ -79,13 +85,19 @@ def diff_as_multiset(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def _check_same_columns(expected: DataFrame, actual: DataFrame) -> None:
+    left, right = sorted(expected.dtypes), sorted(actual.dtypes)
+    if left != right:
+        raise ValueError(f"the columns differ: {left} and {right}")
+
+
 def _values(columns: Sequence[str]) -> Column:
     """The compared values of a row as text, without white space."""
     return F.array(*[squeeze(F.col(c).cast("string")) for c in columns])
 
 
 def _summary(pairs: DataFrame) -> DataFrame:
-    # The value arrays are never NULL themselves, so a NULL means that the side has no such row.
+    # The value columns are never NULL themselves, so a NULL means that the side has no such row.
     return _verdict(
         pairs,
         F.count("left_values"),

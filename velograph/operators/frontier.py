@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velograph.layout import cut_lineage
+
 UNVISITED = -1
 
 
@@ -28,8 +30,9 @@ def initial_paths(edges: DataFrame, source_node: int) -> DataFrame:
 
 
 def initial_frontier(edges: DataFrame, source_node: int) -> DataFrame:
-    """Edges that leave ``source_node``."""
-    return edges.filter(F.col("source") == source_node).select("source", "target", "weight")
+    """Edges that leave ``source_node``; a loop leads nowhere and is none of them."""
+    leaving = (F.col("source") == source_node) & (F.col("target") != source_node)
+    return edges.filter(leaving).select("source", "target", "weight")
 
 
 def best_frontier_edge(paths: DataFrame, frontier: DataFrame) -> DataFrame:
@@ -82,16 +85,20 @@ def edges_to_unvisited(frontier: DataFrame, paths: DataFrame) -> DataFrame:
 
 
 def edges_leaving(edges: DataFrame, best: DataFrame) -> DataFrame:
-    """The edges that leave the target of ``best``."""
+    """The edges that leave the target of ``best``, loops left out."""
     reached = best.select(F.col("candidate_target").alias("source"))
-    return edges.join(F.broadcast(reached), "source").select("source", "target", "weight")
+    return edges.filter("source <> target").join(F.broadcast(reached), "source").select("source", "target", "weight")
 
 
 def advance(
     edges: DataFrame, paths: DataFrame, frontier: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """One whole step: settle the best edge's target and move the frontier past it."""
-    best = best_frontier_edge(paths, frontier)
-    settled = settle(paths, best)
+    """One whole step: settle the best edge's target and move the frontier past it.
+
+    The best edge and both results are written, so that the plan of a step does not hold all the
+    steps before it.
+    """
+    best = cut_lineage(best_frontier_edge(paths, frontier))
+    settled = cut_lineage(settle(paths, best))
     open_edges = drop_used_edge(frontier, best).unionByName(edges_leaving(edges, best))
-    return settled, edges_to_unvisited(open_edges, settled)
+    return settled, cut_lineage(edges_to_unvisited(open_edges, settled))

@@ -12,6 +12,7 @@ from velograph.layout import (
     heavy_keys,
     slice_rows,
 )
+from velograph.operators.adjacency import complete_edges
 
 
 def pagerank(
@@ -21,6 +22,7 @@ def pagerank(
     direction: str = "in",
     rows_per_task: int = ROWS_PER_TASK,
     checkpoint_interval: int = 5,
+    drop_incomplete: bool = False,
 ) -> DataFrame:
     """Rank of every node: ``id, pagerank``.
 
@@ -28,7 +30,8 @@ def pagerank(
     ``reset_probability + (1 - reset_probability) * sum(rank / out-degree)`` over its neighbours:
     with ``direction="in"`` those that point at it, the usual definition, with ``"out"`` those it
     points at. Both agree when every edge has its reverse. Parallel edges count each, weights are
-    ignored. ``"out"`` is undefined for a neighbour without outgoing edges and is refused then.
+    ignored. ``"out"`` is undefined for a neighbour without outgoing edges and is refused then. An edge without source or
+    target is refused, or left out with ``drop_incomplete``.
 
     The edges are hashed, sorted and kept once. An iteration then shuffles one row per node to the
     edges and the partial sums back to the nodes, but no edges. Edges of a hub are sliced over
@@ -38,14 +41,15 @@ def pagerank(
         raise ValueError(f"direction must be 'in' or 'out', not {direction!r}")
     giver, taker = ("source", "target") if direction == "in" else ("target", "source")
     links = (
-        edges.select("source", "target")
-        .na.drop()
+        complete_edges(edges, "source", "target", drop_incomplete=drop_incomplete)
         .groupBy("source", "target")
         .agg(F.count("*").alias("copies"))
         .persist()
     )
     sliced = slice_rows(links, heavy_keys(links, giver, rows_per_task), [taker])
     placed = sliced.rows.sortWithinPartitions(*sliced.join_keys).persist()
+    placed.count()
+    links.unpersist()
     nodes = (
         placed.select(F.col("source").alias("id"), F.col("copies").alias("degree"))
         .union(placed.select("target", F.lit(0).cast("bigint")))
@@ -81,7 +85,7 @@ def pagerank(
                 ranks = cut_lineage(ranks)
         return cut_lineage(ranks.select("id", "pagerank"))
     finally:
-        for kept in (nodes, placed, links):
+        for kept in (nodes, placed):
             kept.unpersist()
 
 

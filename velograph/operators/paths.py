@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from velograph.layout import ROWS_PER_TASK, SlicedRows, cut_lineage, heavy_keys, slice_rows
-from velograph.operators.adjacency import distinct_nodes
+from velograph.operators.adjacency import complete_edges, distinct_nodes
 
 
 def shortest_paths(
@@ -14,13 +14,15 @@ def shortest_paths(
     source_node: int,
     include_sinks: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    drop_incomplete: bool = False,
 ) -> DataFrame:
     """Least cost and path from ``source_node`` to every node: ``id, cost, path``, ordered by id.
 
     Nodes are those with outgoing edges; ``include_sinks`` adds the others. A path reads
     ``1-2-4``. An unreached node has cost -1 and an empty path. Of equally cheap paths the one
     whose text comes first is taken. Self-loops never help and are ignored; of parallel edges the
-    cheapest counts. Weights must not be negative.
+    cheapest counts. Weights must not be negative. An edge without source, target or weight is
+    refused, or left out with ``drop_incomplete``.
 
     Each round relaxes the edges of the nodes that the round before improved, all at once, and
     merges the candidates by one grouped minimum; it ends when nothing improved, so the rounds
@@ -28,7 +30,8 @@ def shortest_paths(
     kept, those of a hub sliced over tasks.
     """
     pairs = (
-        edges.groupBy("source", "target")
+        complete_edges(edges, "source", "target", "weight", drop_incomplete=drop_incomplete)
+        .groupBy("source", "target")
         .agg(F.min("weight").cast("bigint").alias("weight"))
         .persist()
     )
@@ -52,7 +55,7 @@ def _check_weights(pairs: DataFrame) -> None:
 def _search(
     pairs: DataFrame, source_node: int, include_sinks: bool, rows_per_task: int
 ) -> DataFrame:
-    hops = pairs.filter((F.col("source") != F.col("target")) & F.col("weight").isNotNull())
+    hops = pairs.filter(F.col("source") != F.col("target"))
     sliced = slice_rows(hops, heavy_keys(hops, "source", rows_per_task), ["target"])
     placed = sliced.rows.sortWithinPartitions(*sliced.join_keys).persist()
     try:

@@ -12,7 +12,6 @@ from velograph.layout import (
     ROWS_PER_TASK,
     cut_lineage,
     heavy_keys,
-    shuffle_partitions,
     with_row_ids,
 )
 
@@ -42,11 +41,8 @@ def relocation_flags(
     and are NULL when it was not moved. The arguments are those of ``vehicle_relocations``. Trips
     of an unknown vehicle follow no other trip.
     """
-    known = trips.filter(F.col("bike_id").isNotNull())
-    unknown = trips.filter(F.col("bike_id").isNull())
-    counted = known if count_from is None else count_from
-    flagged = _flag(known, counted, _time_order(tie_break), rows_per_task)
-    return flagged.unionByName(unknown, allowMissingColumns=True)
+    counted = trips if count_from is None else count_from
+    return _flag(trips, counted, _time_order(tie_break), rows_per_task)
 
 
 def vehicle_relocations(
@@ -94,24 +90,28 @@ def _time_order(tie_break: Sequence[str]) -> list[str]:
 
 
 def _flag(rides: DataFrame, counted: DataFrame, order: list[str], rows_per_task: int) -> DataFrame:
-    """Rides of known vehicles with their relocation flags, hot vehicles split over tasks."""
+    """Rides with their relocation flags; where some vehicle is hot, histories are cut into pieces."""
     heavy = heavy_keys(counted, "bike_id", rows_per_task)
     if not heavy:
-        return _look_back(rides, ["bike_id"], order)
-    heavy_ids = heavy.for_join("bike_id")
-    light_rides = rides.join(heavy_ids, "bike_id", "left_anti")
-    pieces = _split_by_time(rides.join(heavy_ids, "bike_id", "left_semi"), order)
-    heavy_rides = (
-        _look_back(pieces, ["bike_id", "chunk"], [F.desc("handed_on"), *order])
+        return _look_back(rides, [], order)
+    # Twice as many pieces as would just do: the ranges are estimated from a sample.
+    n_pieces = -(-2 * heavy.total_rows // rows_per_task)
+    return (
+        _look_back(_split_by_time(rides, order, n_pieces), ["chunk"], [F.desc("handed_on"), *order])
         .filter(~F.col("handed_on"))
         .drop("chunk", "handed_on")
     )
-    return _look_back(light_rides, ["bike_id"], order).unionByName(heavy_rides)
 
 
 def _look_back(rides: DataFrame, groups: list[str], order: list[str | Column]) -> DataFrame:
-    """Relocation flags from the ride before, within each group."""
-    by_time = Window.partitionBy(*groups).orderBy(*order)
+    """Relocation flags from the ride before, within each vehicle and group.
+
+    Rides of an unknown vehicle follow no other; a hash spreads them over groups of their own.
+    """
+    known = F.col("bike_id").isNotNull()
+    times = [c for c in order if isinstance(c, str)]
+    unknown_key = F.when(~known, F.xxhash64(*times))
+    by_time = Window.partitionBy("bike_id", unknown_key, *groups).orderBy(*order)
     # The lags are columns first, so that each is computed once and not per use.
     before = rides.withColumns(
         {
@@ -119,7 +119,7 @@ def _look_back(rides: DataFrame, groups: list[str], order: list[str | Column]) -
             "moved_from_time": F.lag("stop_time").over(by_time),
         }
     )
-    moved = F.col("moved_from_station") != F.col("start_station_name")
+    moved = known & (F.col("moved_from_station") != F.col("start_station_name"))
     return before.withColumns(
         {
             "moved_from_station": F.when(moved, F.col("moved_from_station")),
@@ -128,14 +128,13 @@ def _look_back(rides: DataFrame, groups: list[str], order: list[str | Column]) -
     )
 
 
-def _split_by_time(rides: DataFrame, order: list[str]) -> DataFrame:
-    """Rides with a column ``chunk`` that cuts each vehicle's history into pieces of one task.
+def _split_by_time(rides: DataFrame, order: list[str], n_pieces: int) -> DataFrame:
+    """Rides with a column ``chunk`` that cuts vehicles' histories into ``n_pieces`` pieces or so.
 
     A range partitioning on vehicle and time gives the pieces. It is written once, so every reader
     sees the same cuts. The last ride before a piece is repeated at its head, marked
     ``handed_on``, to let the first ride of the piece look back.
     """
-    n_pieces = shuffle_partitions(rides.sparkSession)
     placed = cut_lineage(
         with_row_ids(rides)
         .repartitionByRange(n_pieces, "bike_id", *order, ROW_ID)
@@ -143,7 +142,7 @@ def _split_by_time(rides: DataFrame, order: list[str]) -> DataFrame:
         .withColumn("chunk", F.spark_partition_id())
     )
     # One row per vehicle and piece, so no more rows than pieces plus vehicles.
-    last_rides = placed.groupBy("bike_id", "chunk").agg(F.max(F.struct(*order)).alias("last"))
+    last_rides = placed.filter(F.col("bike_id").isNotNull()).groupBy("bike_id", "chunk").agg(F.max(F.struct(*order)).alias("last"))
     by_chunk = Window.partitionBy("bike_id").orderBy("chunk")
     heads = (
         last_rides.withColumn("chunk_after", F.lead("chunk").over(by_chunk))

@@ -205,13 +205,25 @@ ORACLE_SQL: dict[str, str] = {
         SELECT (SELECT count(*) FROM flow) AS left_rows, (SELECT count(*) FROM trade) AS right_rows,
                (SELECT count(*) FROM one) + (SELECT count(*) FROM two) AS differing_rows,
                (SELECT count(*) FROM one) + (SELECT count(*) FROM two) = 0 AS passed""",
-    "trip_file_scan": f"""WITH {TRIPS}
-        SELECT CAST(bike_id AS INT) AS bike_id, strftime(start_time, '%Y/%m/%d %H:%M:%S') AS start_time,
-               start_station_name, strftime(stop_time, '%Y/%m/%d %H:%M:%S') AS stop_time,
-               stop_station_name, trip_duration, CAST(k1 AS INT) AS trip_id
-        FROM trips""",
-    "edge_file_scan": f"""WITH {FLOW}
-        SELECT CAST(source AS INT) AS source, CAST(target AS INT) AS target, weight FROM flow""",
-    "edge_file_scan_strict": f"""WITH {FLOW}
-        SELECT CAST(source AS INT) AS source, CAST(target AS INT) AS target, weight FROM flow""",
+    "trip_file_scan": """
+        SELECT strftime(o_orderdate, '%Y/%m/%d %H:%M:%S') AS start_time,
+               strftime(l_shipdate, '%Y/%m/%d %H:%M:%S') AS stop_time,
+               CAST(l_quantity AS INT) AS trip_duration,
+               CAST(s_nationkey AS BIGINT) AS start_station_id, sn.n_name AS start_station_name,
+               CAST(s_nationkey * 0.5 AS FLOAT) AS start_station_latitude,
+               CAST(s_nationkey * -1.25 AS FLOAT) AS start_station_longitude,
+               CAST(c_nationkey AS BIGINT) AS stop_station_id, cn.n_name AS stop_station_name,
+               CAST(c_nationkey * 0.5 AS FLOAT) AS stop_station_latitude,
+               CAST(c_nationkey * -1.25 AS FLOAT) AS stop_station_longitude,
+               l_partkey AS bike_id, l_returnflag AS user_type,
+               CAST(l_linenumber + 1950 AS INT) AS birth_year, CAST(l_linenumber % 3 AS INT) AS gender,
+               l_orderkey AS trip_id
+        FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey
+        JOIN supplier ON l_suppkey = s_suppkey
+        JOIN nation sn ON s_nationkey = sn.n_nationkey
+        JOIN customer ON o_custkey = c_custkey
+        JOIN nation cn ON c_nationkey = cn.n_nationkey""",
+    "edge_file_scan": f"WITH {FLOW} SELECT source, target, weight FROM flow",
+    "edge_file_scan_strict": f"WITH {FLOW} SELECT source, target, weight FROM flow",
 }

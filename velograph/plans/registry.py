@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velograph import operators as op
-from velograph.layout.lineage import ensure_checkpoint_dir
+from velograph.layout.lineage import cut_lineage, ensure_checkpoint_dir
 from velograph.plans.tables import TRIP_TIE_BREAK, flow_edges, rides, trade_edges, trips
 from velograph.sources import (
     rank_listing_lines,
@@ -57,7 +57,7 @@ def station_trip_balance_parties(spark: SparkSession, folder: str) -> DataFrame:
 
 def vehicle_relocations(spark: SparkSession, folder: str) -> DataFrame:
     return op.vehicle_relocations(
-        trips(spark, folder), VEHICLE, TRIP_TIE_BREAK, count_from=rides(spark, folder)
+        trips(spark, folder, VEHICLE), VEHICLE, TRIP_TIE_BREAK, count_from=rides(spark, folder)
     )
 
 
@@ -142,10 +142,11 @@ def path_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _first_step(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    edges = flow_edges(spark, folder)
+    """Edges, paths, frontier and best edge; the edges are made once, the best edge is one row."""
+    edges = cut_lineage(flow_edges(spark, folder))
     paths = op.initial_paths(edges, START_NODE)
     frontier = op.initial_frontier(edges, START_NODE)
-    return edges, paths, frontier, op.best_frontier_edge(paths, frontier)
+    return edges, paths, frontier, cut_lineage(op.best_frontier_edge(paths, frontier))
 
 
 def best_frontier_edge(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,8 +174,9 @@ def union_frontier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def next_frontier(spark: SparkSession, folder: str) -> DataFrame:
-    edges, paths, frontier, _ = _first_step(spark, folder)
-    return op.advance(edges, paths, frontier)[1]
+    edges = cut_lineage(flow_edges(spark, folder))
+    paths = op.initial_paths(edges, START_NODE)
+    return op.advance(edges, paths, op.initial_frontier(edges, START_NODE))[1]
 
 
 # Comparison
@@ -209,37 +211,37 @@ def result_diff_unordered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder beside the checkpoints, which every executor can reach."""
+    """A new folder beside the checkpoints, which every executor can reach; it goes with the session."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid4().hex}/{name}"
+    folder = f"{spark.sparkContext.getCheckpointDir()}/files-{uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{folder}/{name}"
 
 
 def trip_file_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns of trip files: nations give the stations' ids and places, the line the rider."""
     path = _scratch(spark, "trips")
     clock = "yyyy/MM/dd HH:mm:ss"
-    nothing = F.lit(None).cast("string")
-    trips(spark, folder).select(
+    trips(spark, folder, full=True).select(
         F.date_format("start_time", clock).alias("start_time"),
         F.date_format("stop_time", clock).alias("stop_time"),
         "trip_duration",
-        nothing.alias("start_station_id"),
+        F.col("s_nationkey").alias("start_station_id"),
         "start_station_name",
-        nothing.alias("start_station_latitude"),
-        nothing.alias("start_station_longitude"),
-        nothing.alias("stop_station_id"),
+        (F.col("s_nationkey") * 0.5).alias("start_station_latitude"),
+        (F.col("s_nationkey") * -1.25).alias("start_station_longitude"),
+        F.col("c_nationkey").alias("stop_station_id"),
         "stop_station_name",
-        nothing.alias("stop_station_latitude"),
-        nothing.alias("stop_station_longitude"),
+        (F.col("c_nationkey") * 0.5).alias("stop_station_latitude"),
+        (F.col("c_nationkey") * -1.25).alias("stop_station_longitude"),
         "bike_id",
-        nothing.alias("user_type"),
-        nothing.alias("birth_year"),
-        nothing.alias("gender"),
+        F.col("l_returnflag").alias("user_type"),
+        (F.col("k2") + 1950).alias("birth_year"),
+        (F.col("k2") % 3).alias("gender"),
         F.col("k1").alias("trip_id"),
     ).write.csv(path, sep=",", header=False)
-    return read_trips(spark, path).select(
-        "bike_id", "start_time", "start_station_name", "stop_time", "stop_station_name",
-        "trip_duration", "trip_id",
-    )
+    return read_trips(spark, path)
 
 
 def _edge_files(spark: SparkSession, folder: str) -> str:

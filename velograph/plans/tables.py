@@ -25,27 +25,34 @@ def rides(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Every trip with its times and stations."""
+def trips(
+    spark: SparkSession, folder: str, bike_id: int | None = None, full: bool = False
+) -> DataFrame:
+    """Every trip with its times and stations, or those of one vehicle.
+
+    ``full`` adds the columns from which the rest of a trip record is filled.
+    """
     nation = read_table(spark, folder, "nation")
     start = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("start_station_name"))
     stop = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("stop_station_name"))
-    # Single tables are joined one by one: their sizes are known from the files, while that of a
-    # joined pair is overestimated and would make the larger side the broadcast one.
-    orders = (
-        read_table(spark, folder, "orders")
-        .join(read_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(stop, "c_nationkey")
-        .select("o_orderkey", F.col("o_orderdate").alias("start_time"), "stop_station_name")
-    )
+    lines = read_table(spark, folder, "lineitem")
+    orders = read_table(spark, folder, "orders")
+    customer = read_table(spark, folder, "customer")
+    of_order, of_customer = F.col("l_orderkey") == F.col("o_orderkey"), F.col("o_custkey") == F.col("c_custkey")
+    if bike_id is None:
+        # Single tables are joined one by one: their sizes are known from the files, while that of a
+        # joined pair is overestimated and would make the larger side the broadcast one.
+        placed = lines.join(orders.join(customer, of_customer).join(stop, "c_nationkey"), of_order)
+    else:
+        # A vehicle's few order lines find their orders first, and only these their customers.
+        placed = lines.filter(F.col("l_partkey") == bike_id).join(orders, of_order)
+        placed = placed.join(customer, of_customer).join(stop, "c_nationkey")
     return (
-        read_table(spark, folder, "lineitem")
-        .join(read_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        placed.join(read_table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(start, "s_nationkey")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("l_partkey").alias("bike_id"),
-            "start_time",
+            F.col("o_orderdate").alias("start_time"),
             F.col("l_shipdate").alias("stop_time"),
             F.col("l_quantity").cast("int").alias("trip_duration"),
             "start_station_name",
@@ -53,6 +60,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
             F.col("l_orderkey").alias("k1"),
             F.col("l_linenumber").alias("k2"),
             F.col("l_suppkey").alias("k3"),
+            *(["s_nationkey", "c_nationkey", "l_returnflag"] if full else []),
         )
     )
 

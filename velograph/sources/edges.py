@@ -28,10 +28,10 @@ def read_edges_strict(spark: SparkSession, path: str) -> DataFrame:
     )
 
     def node(index: int) -> Column:
-        number = fields[index].try_cast("int")
+        number = fields[index].try_cast("bigint")
         return F.coalesce(
             number, F.raise_error(F.concat(F.lit("no integer node in edge line: "), F.col("value")))
-        ).cast("int")
+        ).cast("bigint")
 
     return spark.read.text(path).select(
         node(0).alias("source"), node(1).alias("target"), fields[2].try_cast("int").alias("weight")

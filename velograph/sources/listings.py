@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from velograph.functions.text import rank_line, row_line
 
 # Columns that put the lines of a listing in file order.
-LINE_ORDER = ["file", "block_start", "line_id"]
+LINE_ORDER = ["folder", "part", "file", "block_start", "line_id"]
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a listing, with columns that give their order.
 
     Row ids grow within a split but splits are handed out largest first, so the file and the
-    split's start come before the id.
+    split's start come before the id. Part files follow their number, as a number, and other files
+    their name.
     """
+    place = F.col("_metadata.file_path")
+    name = F.substring_index(place, "/", -1)
     return spark.read.text(path).select(
-        F.col("_metadata.file_name").alias("file"),
+        F.substring(place, F.lit(1), F.length(place) - F.length(name)).alias("folder"),
+        F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint").alias("part"),
+        name.alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"),
         F.col("value").alias("line"),
