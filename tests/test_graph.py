@@ -55,19 +55,19 @@ def ranks_by_hand(edges, reset, iterations, direction="in"):
 
 
 def paths_by_hand(edges, start, domain):
-    """Cheapest path per node, the least path text among equals, by a priority queue."""
+    """Cheapest path per node, by a priority queue: fewest hops, then least predecessor among equals."""
     out = defaultdict(list)
     for s, t, w in edges:
         out[s].append((t, w))
-    best, queue = {}, [(0, str(start), start)]
+    best, queue = {}, [(0, 0, -1, start, str(start))]
     while queue:
-        cost, path, node = heapq.heappop(queue)
+        cost, hops, _, node, path = heapq.heappop(queue)
         if node in best:
             continue
         best[node] = (cost, path)
         for t, w in out[node]:
             if t not in best:
-                heapq.heappush(queue, (cost + w, f"{path}-{t}", t))
+                heapq.heappush(queue, (cost + w, hops + 1, node, t, f"{path}-{t}"))
     return [(n, *best.get(n, (-1, ""))) for n in sorted(domain)]
 
 
@@ -217,9 +217,9 @@ def test_paths_unreachable_loops_and_parallel_edges(make_edges, rows):
         (1, 0, "1"), (2, 4, "1-2"), (3, -1, ""), (4, -1, ""), (5, 4, "1-2-5")]
 
 
-def test_equal_costs_take_the_least_path_text(make_edges, rows):
+def test_equal_costs_take_the_fewest_hops_and_the_least_predecessor(make_edges, rows):
     edges = make_edges([(1, 10, 1), (1, 9, 1), (10, 5, 1), (9, 5, 1), (5, 1, 1)])
-    assert dict((n, p) for n, _, p in rows(op.shortest_paths(edges, 1)))[5] == "1-10-5"
+    assert dict((n, p) for n, _, p in rows(op.shortest_paths(edges, 1)))[5] == "1-9-5"
 
 
 def test_zero_weight_cycle_ends(make_edges, rows):
@@ -297,3 +297,10 @@ def test_plans_of_steps_do_not_grow(make_edges):
         paths, frontier = op.advance(edges, paths, frontier)
         leaves.append(len(frontier._jdf.queryExecution().optimizedPlan().collectLeaves().toList().mkString("\n").split("\n")))
     assert len(set(leaves)) == 1
+
+
+def test_a_long_chain(make_edges, rows):
+    """Many hops: the texts grow once, at the end."""
+    edges = [(k, k + 1, 1) for k in range(60)]
+    found = rows(op.shortest_paths(make_edges(edges), 0, include_sinks=True))
+    assert found == [(k, k, "-".join(map(str, range(k + 1)))) for k in range(61)]

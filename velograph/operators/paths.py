@@ -19,15 +19,18 @@ def shortest_paths(
     """Least cost and path from ``source_node`` to every node: ``id, cost, path``, ordered by id.
 
     Nodes are those with outgoing edges; ``include_sinks`` adds the others. A path reads
-    ``1-2-4``. An unreached node has cost -1 and an empty path. Of equally cheap paths the one
-    whose text comes first is taken. Self-loops never help and are ignored; of parallel edges the
+    ``1-2-4``. An unreached node has cost -1 and an empty path. Of equally cheap paths the one with
+    the fewest hops is taken, and of these the one whose last node but one has the least id, that
+    node's own path being chosen alike. Self-loops never help and are ignored; of parallel edges the
     cheapest counts. Weights must not be negative. An edge without source, target or weight is
     refused, or left out with ``drop_incomplete``.
 
     Each round relaxes the edges of the nodes that the round before improved, all at once, and
     merges the candidates by one grouped minimum; it ends when nothing improved, so the rounds
-    follow the number of hops of the best paths. Edges are read once, then hashed, sorted and
-    kept, those of a hub sliced over tasks.
+    follow the number of hops of the best paths. A round carries each node's cost, hops and
+    predecessor only; the path texts are put together at the end, doubling their length in each of
+    about log2(hops) joins. Edges are read once, then hashed, sorted and kept, those of a hub sliced
+    over tasks.
     """
     pairs = (
         complete_edges(edges, "source", "target", "weight", drop_incomplete=drop_incomplete)
@@ -63,7 +66,9 @@ def _search(
         reached = pairs.sparkSession.range(1).select(
             F.lit(source_node).cast(id_type).alias("id"),
             F.struct(
-                F.lit(0).cast("bigint").alias("cost"), F.lit(str(source_node)).alias("path")
+                F.lit(0).cast("bigint").alias("cost"),
+                F.lit(0).alias("hops"),
+                F.lit(None).cast(id_type).alias("previous"),
             ).alias("best"),
             F.lit(True).alias("improved"),
         )
@@ -81,14 +86,34 @@ def _search(
 
     nodes = distinct_nodes(pairs) if include_sinks else pairs.select(F.col("source").alias("id")).distinct()
     return cut_lineage(
-        nodes.join(reached, "id", "left").select(
-            "id",
-            F.coalesce("best.cost", F.lit(-1)).alias("cost"),
-            F.coalesce("best.path", F.lit("")).alias("path"),
+        nodes.join(_with_paths(reached), "id", "left").select(
+            "id", F.coalesce("cost", F.lit(-1)).alias("cost"), F.coalesce("path", F.lit("")).alias("path")
         )
     )
 
 
+def _with_paths(reached: DataFrame) -> DataFrame:
+    """Cost and path text per reached node, by pointer doubling along the predecessors.
+
+    ``path`` first names the node alone and ``up`` its predecessor; a round puts the text of ``up``
+    in front and goes on from where that one stands. Both sides of the join are written, so adaptive
+    execution splits the many nodes that share an ancestor.
+    """
+    paths = cut_lineage(
+        reached.select(
+            "id", "best.cost", F.col("best.previous").alias("up"), F.col("id").cast("string").alias("path")
+        )
+    )
+    longest = reached.agg(F.max("best.hops")).first()[0]
+    for _ in range(longest.bit_length()):
+        above = paths.select(F.col("id").alias("up"), F.col("path").alias("front"), F.col("up").alias("further"))
+        longer = paths.filter("up IS NOT NULL").join(above, "up").select(
+            "id", "cost", F.col("further").alias("up"), F.concat_ws("-", "front", "path").alias("path")
+        )
+        paths = cut_lineage(paths.filter("up IS NULL").unionByName(longer))
+    return paths.select("id", "cost", "path")
+
+
 def _relax(reached: DataFrame, sliced: SlicedRows, placed: DataFrame) -> DataFrame:
     """One round: extend the improved nodes by one hop and keep the best per node."""
     frontier = sliced.spread(
@@ -98,14 +123,19 @@ def _relax(reached: DataFrame, sliced: SlicedRows, placed: DataFrame) -> DataFra
         F.col("target").alias("id"),
         F.struct(
             (F.col("best.cost") + F.col("weight")).alias("cost"),
-            F.concat_ws("-", "best.path", F.col("target").cast("string")).alias("path"),
+            (F.col("best.hops") + 1).alias("hops"),
+            F.col("source").alias("previous"),
         ).alias("best"),
         F.lit(None).cast(reached.schema["best"].dataType).alias("before"),
     )
     known = reached.select("id", "best", F.col("best").alias("before"))
+    # Another predecessor at the same cost and hops changes nothing for the nodes beyond.
+    improved = ~(
+        F.col("best.cost").eqNullSafe(F.col("before.cost")) & F.col("best.hops").eqNullSafe(F.col("before.hops"))
+    )
     return (
         known.unionByName(extended)
         .groupBy("id")
         .agg(F.min("best").alias("best"), F.min("before").alias("before"))
-        .select("id", "best", (~F.col("best").eqNullSafe(F.col("before"))).alias("improved"))
+        .select("id", "best", improved.alias("improved"))
     )

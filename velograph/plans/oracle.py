@@ -83,19 +83,24 @@ def _paths() -> str:
     steps = [
         """hops AS MATERIALIZED (
             SELECT source, target, min(weight) AS weight FROM flow WHERE source <> target GROUP BY 1, 2),
-        d0 AS (SELECT CAST(1 AS BIGINT) AS id, CAST(0 AS BIGINT) AS cost, '1' AS path)"""
+        d0 AS (SELECT CAST(1 AS BIGINT) AS id, CAST(0 AS BIGINT) AS cost, 0 AS hop, CAST(NULL AS BIGINT) AS prev)"""
     ]
     for k in range(1, PATH_ROUNDS + 1):
         steps.append(
             f"""d{k} AS MATERIALIZED (
-            SELECT id, m.cost AS cost, m.path AS path FROM (
-                SELECT id, min({{'cost': cost, 'path': path}}) AS m FROM (
-                    SELECT id, cost, path FROM d{k - 1}
+            SELECT id, m.cost AS cost, m.hop AS hop, m.prev AS prev FROM (
+                SELECT id, min({{'cost': cost, 'hop': hop, 'prev': prev}}) AS m FROM (
+                    SELECT id, cost, hop, prev FROM d{k - 1}
                     UNION ALL
-                    SELECT h.target, d.cost + h.weight, d.path || '-' || h.target
+                    SELECT h.target, d.cost + h.weight, d.hop + 1, d.id
                     FROM d{k - 1} d JOIN hops h ON h.source = d.id) GROUP BY id))"""
         )
-    steps.append(f"reached AS (SELECT * FROM d{PATH_ROUNDS})")
+    steps.append(
+        f"""reached AS (
+        SELECT id, cost, CAST(id AS VARCHAR) AS path FROM d{PATH_ROUNDS} WHERE prev IS NULL
+        UNION ALL
+        SELECT d.id, d.cost, r.path || '-' || d.id FROM reached r JOIN d{PATH_ROUNDS} d ON d.prev = r.id)"""
+    )
     return ",\n".join(steps)
 
 
@@ -166,10 +171,10 @@ ORACLE_SQL: dict[str, str] = {
     "pagerank_out": f"WITH {TRADE}, {_ranks('trade', 'out')} SELECT id, pagerank FROM ranks",
     "rank_listing": f"{_IN_RANKS} {_RANK_LINES}",
     "rank_listing_file": f"{_IN_RANKS} {_RANK_LINES}",
-    "shortest_paths": f"WITH {FLOW}, {_paths()}, {_DOMAIN} {_PATH_RESULT}",
-    "shortest_paths_with_sinks": f"""WITH {FLOW}, {_paths()},
+    "shortest_paths": f"WITH RECURSIVE {FLOW}, {_paths()}, {_DOMAIN} {_PATH_RESULT}",
+    "shortest_paths_with_sinks": f"""WITH RECURSIVE {FLOW}, {_paths()},
         domain AS (SELECT source AS id FROM flow UNION SELECT target FROM flow) {_PATH_RESULT}""",
-    "path_listing": f"""WITH {FLOW}, {_paths()}, {_DOMAIN}
+    "path_listing": f"""WITH RECURSIVE {FLOW}, {_paths()}, {_DOMAIN}
         SELECT concat('Row(id=', id, ', cost=', cost, ', path=''', path, ''')') AS line
         FROM ({_PATH_RESULT})""",
     "best_frontier_edge": f"WITH {FLOW}, {_STEP} SELECT * FROM best",
