@@ -19,20 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from velograph.plans import QUERIES  # noqa: E402
 
-HEADLINES = [
-    "top_n_vehicles",
-    "station_trip_balance",
-    "station_trip_balance_join",
-    "vehicle_relocations",
-    "vehicle_relocations_all",
-    "adjacency",
-    "pagerank_in",
-    "pagerank_out",
-    "shortest_paths",
-    "next_frontier",
-    "result_diff",
-    "result_diff_positional",
-]
+HEADLINES = list(QUERIES)
 
 
 def main() -> None:
