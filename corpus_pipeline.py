@@ -29,9 +29,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates, and those without an id."""
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(Workspace(spark).keep(dropped), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates: that of the least id, one without an id last.
+
+    Ids may be missing or repeat, so rows get a key of their own. Of rows with the least id that of the
+    least text hash stays, of equal ones the first. A row without words is in no group and stays.
+    """
+    work = Workspace(spark)
+    rows = work.keep(docs.withColumn(_MARK, F.monotonically_increasing_id()))
+    found = near_duplicates(rows.select(_MARK, "text"), doc_id=_MARK).select(F.col("doc_id").alias(_MARK), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text"), _MARK)
+    first = found.join(rows.select(_MARK, place.alias("place")), _MARK).groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = work.keep(first.select(F.col("place")[_MARK].alias(_MARK)))
+    return rows.join(kept, _MARK, "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
