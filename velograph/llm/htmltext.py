@@ -1,10 +1,11 @@
 """Main text of web pages: markup tells most of it, a host's repeated text the rest.
 
 A page is cut into blocks. Blocks within the page's marked main content are kept, and blocks in
-menus, headers, footers, sidebars, notices, adverts, forms, comments and the like are not. Where a
-page marks no main content, its other blocks are judged by their host: the token streams (tags and
-words) of the host's pages are laid end to end, a suffix array finds runs of tokens that occur on
-several pages, and blocks covered by such runs are boilerplate; unique runs stay.
+menus, headers, footers, sidebars, notices, adverts, forms, comments and the like are not. All other
+blocks are judged by their host: the
+token streams (tags and words) of the host's pages are laid end to end, a suffix array finds runs of
+tokens that occur on several pages, and blocks covered by such runs are boilerplate; unique runs stay.
+Near copies of a page count as one page. A block shorter than a run is judged as a whole.
 
 A host of many pages is cut over several shards. Each shard sorts its own streams; runs that it has
 on one page only are looked up among the other shards' by digest.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velograph.llm.common import Workspace
+from velograph.llm.minhash import near_duplicates
 from velograph.llm.suffixes import refined_order
 
 # Tokens of a run that counts as repeated.
@@ -32,6 +34,9 @@ RUN_TOKENS = 8
 # Pages of one host that one task looks at.
 SHARD_PAGES = 128
 
+# Near copies by their pairs of words: so many in a hundred are common.
+COPY_WORDS, COPY_PERCENT = 2, 75
+
 CONTENT, OPEN, NOISE = 0, 1, 2
 
 # Elements of HTML by their role.
@@ -173,8 +178,6 @@ def page_blocks(page: str) -> list[tuple[str, int, str]]:
     if place < len(page):
         parts.append(page[place:])
     flush()
-    if any(r == CONTENT for _, r, _ in blocks):
-        return [(t, NOISE if r == OPEN else r, b) for t, r, b in blocks]
     return blocks
 
 
@@ -195,11 +198,11 @@ def _stream(texts: list[str], tags: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _repeated_runs(rows: pd.DataFrame, run: int) -> pd.DataFrame:
-    """Starts of runs that several pages of the shard have; of a cut host its other runs, too."""
+    """Starts of runs that several groups of pages in the shard have; of a cut host its other runs, too."""
     rows = rows.sort_values("key").reset_index(drop=True)
     streams = [_stream(list(t), list(g))[0] for t, g in zip(rows["texts"], rows["tags"], strict=True)]
     sizes = np.array([len(s) for s in streams])
-    names = ["key", "starts", "host", "part", "digests", "fresh"]
+    names = ["key", "starts", "host", "digests", "fresh", "low", "high"]
     if not sizes.sum():
         return pd.DataFrame(columns=names, dtype=object)
     hashes = np.concatenate(streams)
@@ -211,22 +214,24 @@ def _repeated_runs(rows: pd.DataFrame, run: int) -> pd.DataFrame:
     inner = max(len(page) - run + 1, 0)
     whole[:inner] = page[:inner] == page[len(page) - inner :]
     kept = whole[order]
-    order, group = order[kept], np.cumsum(opens)[kept]
-    cut = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)])
-    several = np.minimum.reduceat(page[order], cut) != np.maximum.reduceat(page[order], cut) if len(cut) else cut > 0
-    again = np.repeat(several, np.diff(np.r_[cut, len(group)]))
-    host, part = rows["host"].iloc[0], int(rows["part"].iloc[0])
+    order, kind = order[kept], np.cumsum(opens)[kept]
+    cut = np.flatnonzero(np.r_[True, kind[1:] != kind[:-1]][: len(kind)])
+    copies = rows["copies"].to_numpy(dtype=np.int64)[page[order]]
+    low, high = (f.reduceat(copies, cut) if len(cut) else copies for f in (np.minimum, np.maximum))
+    low, high = (np.repeat(x, np.diff(np.r_[cut, len(kind)])) for x in (low, high))
+    again = low != high
+    host = rows["host"].iloc[0]
     divided = rows["parts"].iloc[0] > 1
     shown = np.zeros(len(order), dtype=bool)
     shown[cut] = True
     out = []
     by_page = np.argsort(page[order], kind="stable")
     bounds = np.searchsorted(page[order][by_page], np.arange(len(sizes) + 1))
-    for k, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-        mine = by_page[low:high]
+    for k, (first, last) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        mine = by_page[first:last]
         starts = order[mine] - begins[k]
         known = np.sort(starts[again[mine]]).tolist()
-        digests, fresh = None, None
+        digests, fresh, lows, highs = None, None, None, None
         if divided:
             # A run repeated in the shard is shown to the others once, a new one with its place.
             open_ = mine[~again[mine] | shown[mine]]
@@ -234,18 +239,23 @@ def _repeated_runs(rows: pd.DataFrame, run: int) -> pd.DataFrame:
                 int(np.uint64(xxhash.xxh3_64_intdigest(hashes[s : s + run].tobytes())).view(np.int64)) for s in order[open_]
             ]
             fresh = np.where(again[open_], -1, order[open_] - begins[k]).tolist()
+            lows, highs = low[open_].tolist(), high[open_].tolist()
         if known or digests:
-            out.append((int(rows["key"][k]), known, host, part, digests, fresh))
+            out.append((int(rows["key"][k]), known, host, digests, fresh, lows, highs))
     return pd.DataFrame(out, columns=names, dtype=object)
 
 
 _PARSED = (
-    "page_id {id}, url STRING, key BIGINT, host STRING, text STRING, texts ARRAY<STRING>, tags ARRAY<STRING>, open ARRAY<INT>"
+    "page_id {id}, url STRING, key BIGINT, host STRING, text STRING, texts ARRAY<STRING>, tags ARRAY<STRING>, open ARRAY<INT>, "
+    "content ARRAY<STRING>, before ARRAY<INT>"
 )
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """Content text of each page, and its other blocks with their tags; open lists those in doubt."""
+    """Content text of each page, and its other blocks with their tags; open lists those in doubt.
+
+    Pages with blocks in doubt also have their content blocks, each with the number of others before it.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, 500) for b in batches for k in range(0, b.num_rows, 500)):
@@ -255,6 +265,11 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 host = page_host(url)
                 blocks = page_blocks(page)
                 others = [b for b in blocks if b[1] != CONTENT]
+                content, before = [], []
+                if any(r == OPEN for _, r, _ in others):
+                    content = [t for t, r, _ in blocks if r == CONTENT]
+                    count = np.cumsum([r != CONTENT for _, r, _ in blocks])
+                    before = [int(n) for n, b in zip(count, blocks, strict=True) if b[1] == CONTENT]
                 key = int(np.uint64(xxhash.xxh3_64_intdigest(f"{host}\n{page}".encode())).view(np.int64))
                 out.append(
                     (
@@ -264,27 +279,46 @@ def _parsed(pages: DataFrame) -> DataFrame:
                         [t for t, _, _ in others],
                         [g for _, _, g in others],
                         [k for k, b in enumerate(others) if b[1] == OPEN],
+                        content,
+                        before,
                     )
                 )
             strings = pa.list_(pa.string())
-            kinds = [pa.int64(), pa.string(), pa.string(), strings, strings, pa.list_(pa.int32())]
+            kinds = [pa.int64(), pa.string(), pa.string(), strings, strings, pa.list_(pa.int32()), strings, pa.list_(pa.int32())]
             columns = [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), *columns],
-                names=["page_id", "url", "key", "host", "text", "texts", "tags", "open"],
+                names=["page_id", "url", "key", "host", "text", "texts", "tags", "open", "content", "before"],
             )
 
     return pages.mapInArrow(work, _PARSED.format(id=pages.schema["page_id"].dataType.simpleString()))
 
 
-def _unique_text(texts: list[str], tags: list[str], doubtful: list[int], starts: set[int], run: int) -> str:
-    """The blocks in doubt of which repeated runs cover less than half the tokens."""
+def _unique_text(
+    texts: list[str], tags: list[str], doubtful: list[int], content: list[str], before: list[int],
+    starts: set[int], short: set[int], run: int,
+) -> str:
+    """The content blocks and, in their places, those in doubt of which repeats cover less than half."""
     tokens, block = _stream(texts, tags)
     covered = np.zeros(len(tokens) + run, dtype=bool)
     for start in starts:
         covered[start : start + run] = True
     share = np.bincount(block, weights=covered[: len(tokens)], minlength=len(texts)) / np.maximum(np.bincount(block), 1)
-    return "\n".join(texts[k] for k in doubtful if share[k] < 0.5)
+    kept = [(k + 0.5, texts[k]) for k in doubtful if share[k] < 0.5 and k not in short]
+    return "\n".join(t for _, t in sorted([*zip(before, content, strict=True), *kept], key=lambda x: x[0]))
+
+
+def _copies(single: DataFrame, work: Workspace) -> DataFrame:
+    """Pages with the key of the group of near copies they are in; only hosts with blocks in doubt matter."""
+    hosts = single.where(F.size("open") > 0).select("host").distinct()
+    shown = single.join(hosts, "host", "left_semi")
+    open_texts = F.transform("open", lambda k: F.element_at("texts", k + 1))
+    body = F.when(F.size("open") > 0, F.concat_ws("\n", "content", open_texts)).otherwise(F.col("text"))
+    found = near_duplicates(
+        work.keep(shown.select("key", body.alias("body"))),
+        doc_id="key", text="body", shingle_words=COPY_WORDS, percent=COPY_PERCENT,
+    )
+    return work.keep(found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("copies")))
 
 
 def extract_text(
@@ -298,8 +332,8 @@ def extract_text(
 ) -> DataFrame:
     """One row per page: page_id, url, text (blocks joined by a newline, empty if none), n_chars.
 
-    A null page is empty, pages without URL share the empty host. Pages with the same host and markup
-    count as one page when repeats are looked for, so copies do not remove each other. Other columns
+    A null page is empty, pages without URL share the empty host. Pages of a host with the same markup or
+    nearly the same text count as one page when repeats are looked for, so copies do not remove each other. Other columns
     are not read; without rows there are none.
     """
     if run_tokens & (run_tokens - 1):
@@ -307,42 +341,56 @@ def extract_text(
     work = Workspace(pages.sparkSession)
     source = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     parsed = work.keep(_parsed(source))
-    streams = parsed.where(F.size("texts") > 0).select("host", "key", "texts", "tags")
-    hosts = work.keep(
-        streams.groupBy("host").agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / shard_pages).alias("parts"))
-    )
-    dealt = streams.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     # Equal pages have one key and meet in one part.
-    single = dealt.groupBy("host", "part", "key").agg(
-        F.first("texts").alias("texts"), F.first("tags").alias("tags"), F.first("parts").alias("parts")
+    fields = ["host", "text", "texts", "tags", "open", "content"]
+    single = work.keep(
+        parsed.where(F.size("texts") > 0).groupBy("key").agg(*(F.first(c).alias(c) for c in fields))
+    )
+    hosts = work.keep(
+        single.groupBy("host").agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / shard_pages).alias("parts"))
     )
+    grouped = single.select("host", "key", "texts", "tags").join(_copies(single, work), "key", "left")
+    grouped = grouped.withColumn("copies", F.coalesce("copies", "key"))
+    dealt = grouped.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     found = work.keep(
-        single.groupBy("host", "part").applyInPandas(
+        dealt.groupBy("host", "part").applyInPandas(
             lambda rows: _repeated_runs(rows, run_tokens),
-            "key BIGINT, starts ARRAY<BIGINT>, host STRING, part BIGINT, digests ARRAY<BIGINT>, fresh ARRAY<BIGINT>",
+            "key BIGINT, starts ARRAY<BIGINT>, host STRING, digests ARRAY<BIGINT>, fresh ARRAY<BIGINT>, "
+            "low ARRAY<BIGINT>, high ARRAY<BIGINT>",
         )
     )
     runs = found.where("digests IS NOT NULL").select(
-        "key", "host", "part", F.explode(F.arrays_zip("digests", "fresh")).alias("run")
+        "key", "host", F.explode(F.arrays_zip("digests", "fresh", "low", "high")).alias("run")
     )
-    runs = runs.select("key", "host", "part", "run.*")
+    runs = runs.select("key", "host", "run.*")
     shared = work.keep(
-        runs.groupBy("host", "digests").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+        runs.groupBy("host", "digests").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
     )
     across = runs.where("fresh >= 0").join(shared.select("host", "digests"), ["host", "digests"])
     starts = found.select("key", "starts").unionByName(across.select("key", F.array("fresh").alias("starts")))
     starts = work.keep(starts.groupBy("key").agg(F.flatten(F.collect_set("starts")).alias("starts")))
 
+    # Blocks with fewer tokens than a run, by their tag and whole text.
+    brief = grouped.select("host", "key", "copies", F.posexplode(F.arrays_zip("tags", "texts")).alias("at", "block"))
+    brief = brief.where(F.size(F.split("block.texts", " ")) + 1 < run_tokens)
+    common = work.keep(
+        brief.groupBy("host", "block").agg(F.min("copies").alias("low"), F.max("copies").alias("high")).where("low <> high")
+    )
+    short = brief.join(common.select("host", "block"), ["host", "block"], "left_semi")
+    short = work.keep(short.groupBy("key").agg(F.collect_set("at").alias("short")))
+
+    blocks = ["texts", "tags", "open", "content", "before"]
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("texts", "tags", "open", "starts"))
-            texts = [_unique_text(t, g, o, set(s or ()), run_tokens) for t, g, o, s in zip(*columns, strict=True)]
+            columns = (batch.column(c).to_pylist() for c in (*blocks, "starts", "short"))
+            texts = [_unique_text(*b, set(s or ()), set(k or ()), run_tokens) for *b, s, k in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, type=pa.string())],
                 names=["page_id", "url", "text"],
             )
 
     plain = parsed.where(F.size("open") == 0).select("page_id", "url", "text")
-    doubtful = parsed.where(F.size("open") > 0).join(starts, "key", "left")
-    judged = doubtful.select("page_id", "url", "texts", "tags", "open", "starts").mapInArrow(judge, plain.schema)
+    doubtful = parsed.where(F.size("open") > 0).join(starts, "key", "left").join(short, "key", "left")
+    judged = doubtful.select("page_id", "url", *blocks, "starts", "short").mapInArrow(judge, plain.schema)
     return plain.unionByName(judged).withColumn("n_chars", F.length("text").cast("bigint"))
