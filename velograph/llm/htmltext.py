@@ -2,7 +2,7 @@
 
 A page is cut into blocks. Blocks within the page's marked main content are kept, and blocks in
 menus, headers, footers, sidebars, notices, adverts, forms, comments and the like are not. All other
-blocks are judged by their host: the
+blocks, also those within main content whose names only hint at such, are judged by their host: the
 token streams (tags and words) of the host's pages are laid end to end, a suffix array finds runs of
 tokens that occur on several pages, and blocks covered by such runs are boilerplate; unique runs stay.
 Near copies of a page count as one page. A block shorter than a run is judged as a whole.
@@ -38,6 +38,8 @@ SHARD_PAGES = 128
 COPY_WORDS, COPY_PERCENT = 2, 75
 
 CONTENT, OPEN, NOISE = 0, 1, 2
+# Open within main content; blocks show it as open.
+_DOUBT = 3
 
 # Elements of HTML by their role.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,6 +61,11 @@ _NOISE_NAMES = set(
     "navigation menu menus breadcrumb breadcrumbs footer masthead comment comments disqus respond reply replies share "
     "sharing social related recommended widget widgets pagination pager login signin signup toolbar".split()
 )
+# Of these, names that within main content say enough as the whole of a class or id.
+_SURE_NAMES = set(
+    "ad ads adv advert adverts advertisement advertising adsense sponsored cookie cookies gdpr popup modal newsletter "
+    "sidebar nav navbar breadcrumb breadcrumbs comments disqus pagination pager".split()
+)
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -78,26 +85,31 @@ _NAME_PARTS = re.compile(r"[a-z]+")
 
 
 @lru_cache(maxsize=10_000)
-def _attribute_role(attributes: str) -> int | None:
-    """What an element's attributes say of it."""
+def _attribute_role(attributes: str, inside: bool) -> int | None:
+    """What an element's attributes say of it; inside main content most names only put it in doubt."""
     role = None
     for name, double, single, bare in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (double or single or bare).lower()
         if name == "hidden" or name == "role" and _NOISE_ROLES.intersection(value.split()):
             return NOISE
         if name in ("class", "id") and _NOISE_NAMES.intersection(_NAME_PARTS.findall(value)):
-            return NOISE
+            if not inside or _SURE_NAMES.intersection(value.split()):
+                return NOISE
+            role = _DOUBT
         if name == "role" and "main" in value.split() or name == "itemprop" and "articlebody" in value.split():
             role = CONTENT
     return role
 
 
 def _role(tag: str, attributes: str, outer: int) -> int:
-    if outer == NOISE or tag in _NOISE_TAGS or tag == "header" and outer != CONTENT:
+    inside = outer in (CONTENT, _DOUBT)
+    if outer == NOISE or tag in _NOISE_TAGS or tag == "header" and not inside:
         return NOISE
-    said = _attribute_role(attributes) if attributes and tag not in ("html", "body") else None
+    said = _attribute_role(attributes, inside) if attributes and tag not in ("html", "body") else None
     if said == NOISE:
         return NOISE
+    if _DOUBT in (outer, said):
+        return _DOUBT
     return CONTENT if tag in _CONTENT_TAGS or said == CONTENT else outer
 
 
@@ -113,7 +125,7 @@ def page_blocks(page: str) -> list[tuple[str, int, str]]:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                blocks.append((text, role, block))
+                blocks.append((text, OPEN if role == _DOUBT else role, block))
 
     def pop_to(depth: int) -> None:
         nonlocal role, block
