@@ -1,0 +1,106 @@
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from velograph.llm import QUERIES
+from velograph.llm.periodic import collapsed, find_periodic_runs, runs_of
+
+
+def brute_runs(words):
+    """By the definition: every stretch, its smallest period, and whether a neighbour extends it."""
+    size, found = len(words), []
+    for period in range(1, size // 4 + 1):
+        at = 0
+        while at + period < size:
+            end = at + period
+            while end < size and words[end] == words[end - period]:
+                end += 1
+            length = end - at
+            smaller = any(all(words[k] == words[k - p] for k in range(at + p, end)) for p in range(1, period))
+            left = at == 0 or words[at - 1] != words[at - 1 + period]
+            if left and length >= max(6, 4 * period) and not smaller:
+                found.append((at, length, period))
+            at = max(at + 1, end - period)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+pieces = st.lists(st.tuples(st.lists(st.sampled_from([b"a", b"b", b"c"]), min_size=1, max_size=7), st.integers(1, 7)), max_size=6)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(pieces, min_size=1, max_size=4))
+def test_runs_agree_with_the_definition(documents):
+    texts = [[w for part, times in d for w in part * times] for d in documents]
+    assert runs_of(texts) == [brute_runs(t) for t in texts]
+
+
+def test_runs_of_every_period_up_to_a_fourth():
+    for period in range(1, 70):
+        words = [b"x"] + [b"w%d" % k for k in range(period)] * 4 + [b"w0"] * (period > 2) + [b"y"]
+        length = max(4 * period + (period > 2), 0)
+        assert runs_of([words])[0] == ([(1, length, period)] if length >= 6 else [])
+
+
+def test_common_words_and_long_texts_take_few_steps():
+    long = [b"the", b"of"] * 200_000 + [b"end"] + [b"word%d" % (k * k % 7919) for k in range(300_000)]
+    found = runs_of([long])[0]
+    assert found[0] == (0, 400_000, 2)
+    assert (400_001, 300_000, 7919) in [(a, b, p) for a, b, p in found]
+
+
+def test_collapsed_keeps_one_period():
+    words = b"a b c a b c a b c a b c a d d d d d d e".split()
+    assert runs_of([words]) == [[(0, 13, 3), (13, 6, 1)]]
+    assert collapsed(words, runs_of([words])[0]) == b"a b c d e"
+
+
+def test_rows_with_missing_and_odd_values(spark):
+    rows = [
+        (1, None, "k1", 0),
+        (2, "", "k2", 0),
+        (3, " \t\n", "k3", 0),
+        (4, "x x x x x x", "k4", 0),
+        (4, "x x x x x x", "k4", 0),
+        (None, "a b a", "k5", 0),
+        (5, "x x x x x", None, 0),
+    ]
+    documents = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, runs STRING, collapsed_text INT")
+    found = find_periodic_runs(documents)
+    assert found.columns == ["doc_id", "text", "runs", "collapsed_text"]
+    got = sorted(((r["doc_id"], [tuple(x) for x in r["runs"]], r["collapsed_text"]) for r in found.collect()), key=repr)
+    expected = [
+        (1, [], ""),
+        (2, [], ""),
+        (3, [], ""),
+        (4, [(0, 6, 1)], "x"),
+        (4, [(0, 6, 1)], "x"),
+        (5, [], "x x x x x"),
+        (None, [], "a b a"),
+    ]
+    assert got == sorted(expected, key=repr)
+    assert find_periodic_runs(documents.limit(0)).count() == 0
+
+
+def test_a_run_in_a_very_long_word_list_next_to_short_rows(spark):
+    long = " ".join(f"n{k}" for k in range(150_000)) + " again and" * 50_000
+    documents = spark.createDataFrame([(1, long), (2, "one"), (3, "b " * 9)], "doc_id BIGINT, text STRING")
+    found = {r["doc_id"]: [tuple(x) for x in r["runs"]] for r in find_periodic_runs(documents).collect()}
+    assert found == {1: [(150_000, 100_000, 2)], 2: [], 3: [(0, 9, 1)]}
+
+
+def test_query_on_rows_without_id_or_text(spark, tmp_path):
+    rows = [(None, "a " * 8), (7, None), (7, "\x0b"), (8, "é b é b é b é b")]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in QUERIES["op11_periodic"](spark, str(tmp_path)).collect()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert (got[7]["n_runs"], got[7]["start"], got[7]["runs_sha256"], got[7]["collapsed_sha256"]) == (0, None, empty, empty)
+    assert (got[None]["start"], got[None]["length"], got[None]["period"], got[None]["exponent_milli"]) == (0, 8, 1, 8000)
+    assert got[8]["runs_sha256"] == hashlib.sha256(b"0,8,2\n").hexdigest()
+    assert got[8]["collapsed_sha256"] == hashlib.sha256("é b".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("words", [0, 1, 5])
+def test_too_short_for_a_run(words):
+    assert runs_of([[b"a"] * words, []]) == [[], []]

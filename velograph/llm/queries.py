@@ -11,6 +11,7 @@ from velograph.llm.decontamination import contamination_columns, find_benchmark_
 from velograph.llm.htmltext import extract_text
 from velograph.llm.minhash import near_duplicates
 from velograph.llm.packing import pack_documents
+from velograph.llm.periodic import find_periodic_runs
 from velograph.llm.suffixes import remove_repeats, repeat_columns
 from velograph.llm.tokencounts import count_tokens
 from velograph.llm.training import HELD_OUT
@@ -196,6 +197,96 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links, compone
 FROM least_id
 """
 
+# Words between ASCII white space, as both engines' patterns write them.
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def with_planted_period(documents: DataFrame) -> DataFrame:
+    """Texts of which every tenth id's repeats its words from a place on, as the query's contract asks.
+
+    Ids are drawn by CRC-32, which also gives the place and the number of repeats. A text without words,
+    or a row without an id, stays as it is.
+    """
+    digest = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    drawn = documents.withColumn("_h", digest).withColumn(
+        "_words", F.when(F.col("_h") % 10 == 0, F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)))
+    )
+    drawn = drawn.withColumn("_n", F.size("_words")).withColumn("_g", F.expr("_h div 10"))
+    drawn = drawn.withColumn("_a", F.expr("CASE WHEN _n > 0 THEN CAST(_g % _n AS INT) END"))
+    drawn = drawn.withColumn("_p", F.expr("CAST(1 + (_n - _a) div (3 + _g % 8) AS INT)"))
+    repeats = "flatten(array_repeat(slice(_words, _a + 1, _p), CAST(1 + (_n - _a) div _p AS INT)))"
+    planted = f"array_join(concat(slice(_words, 1, _a), slice({repeats}, 1, _n - _a)), ' ')"
+    text = F.expr(f"CASE WHEN _a IS NULL THEN text ELSE {planted} END").alias("text")
+    return drawn.select(*(text if c == "text" else F.col(c) for c in documents.columns))
+
+
+def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    documents = with_planted_period(read_table(spark, folder, "documents").select("doc_id", "text"))
+    found = find_periodic_runs(documents)
+    order = """CASE WHEN a.length * b.period <> b.length * a.period
+                 THEN IF(a.length * b.period > b.length * a.period, -1, 1)
+               WHEN a.start <> b.start THEN IF(a.start < b.start, -1, 1)
+               ELSE CAST(sign(a.period - b.period) AS INT) END"""
+    best = F.expr(f"try_element_at(array_sort(runs, (a, b) -> {order}), 1)")
+    lines = F.expr(r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# The CRC-32 of an id's decimal text, bit by bit.
+_CRC32_SQL = """
+  SELECT doc_id, CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) END AS h
+  FROM (SELECT DISTINCT doc_id FROM documents)"""
+
+_OP11_SQL = rf"""
+WITH crc AS ({_CRC32_SQL}),
+cut AS (
+  SELECT row_number() OVER () AS r, d.doc_id, h, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
+  FROM documents d LEFT JOIN crc ON d.doc_id IS NOT DISTINCT FROM crc.doc_id),
+sized AS (SELECT r, doc_id, h, w, CAST(len(w) AS BIGINT) AS n FROM cut),
+placed AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM sized),
+spun AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
+words AS (
+  SELECT r, n, i, CASE WHEN a IS NULL OR i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END AS word
+  FROM (SELECT r, n, a, p, w, unnest(range(0, n)) AS i FROM spun)),
+cells AS (
+  SELECT x.r, x.i, x.i - y.i AS lag FROM words x JOIN words y
+    ON x.r = y.r AND x.word = y.word AND y.i < x.i AND 4 * (x.i - y.i) <= x.n),
+runs AS (
+  SELECT r, min(i) - lag AS start, count(*) + lag AS length, lag AS period
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, lag ORDER BY i) AS diagonal FROM cells)
+  GROUP BY r, lag, diagonal HAVING count(*) + lag >= greatest(6, 4 * lag)),
+smallest AS (SELECT r, start, length, min(period) AS period FROM runs GROUP BY r, start, length),
+per_row AS (
+  SELECT r, count(*) AS n_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM smallest GROUP BY r),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r
+    ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS place FROM smallest),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM smallest),
+rest AS (
+  SELECT words.r, string_agg(word, ' ' ORDER BY words.i) AS kept
+  FROM words LEFT JOIN dropped ON words.r = dropped.r AND words.i = dropped.i
+  WHERE dropped.i IS NULL GROUP BY words.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM spun LEFT JOIN per_row USING (r) LEFT JOIN (SELECT * FROM ranked WHERE place = 1) USING (r)
+  LEFT JOIN rest USING (r)
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -207,5 +298,13 @@ QUERIES = {
     "op8_suffixes": op8_suffixes,
     "op9_minhash": op9_minhash,
     "op10_html": op10_html,
+    "op11_periodic": op11_periodic,
+}
+ORACLE_SQLS = {
+    "op1_warc": _OP1_SQL,
+    "op4_vectors": _OP4_SQL,
+    "op5_decontamination": _OP5_SQL,
+    "op8_suffixes": _OP8_SQL,
+    "op9_minhash": _OP9_SQL,
+    "op11_periodic": _OP11_SQL,
 }
-ORACLE_SQLS = {"op1_warc": _OP1_SQL, "op4_vectors": _OP4_SQL, "op5_decontamination": _OP5_SQL, "op8_suffixes": _OP8_SQL, "op9_minhash": _OP9_SQL}
