@@ -58,6 +58,20 @@ class Workspace:
             path.getFileSystem(self._hadoop()).delete(path, True)
 
 
+def file_system(folder: str):
+    """The file system of a shared folder for files that Spark does not write itself, and the folder's path there.
+
+    Fails at once, and says why, where the folder's scheme is not one that pyarrow opens.
+    """
+    from pyarrow import fs
+
+    try:
+        return fs.FileSystem.from_uri(folder if "://" in folder else folder.replace("file:", "file://", 1))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as error:
+        scheme = folder.partition(":")[0]
+        raise ValueError(f"files cannot be written under spark.checkpoint.dir: pyarrow does not open {scheme!r}") from error
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has at most ``limit`` bytes of ``column``, or one row."""
     sizes = batch.column(column).nbytes

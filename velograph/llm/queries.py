@@ -9,11 +9,13 @@ from velograph.llm import quality, toxicity
 from velograph.llm.common import Workspace, crc32_fold, read_table
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
 from velograph.llm.htmltext import extract_text
+from velograph.llm.merkle import fold_leaves, table_manifest
 from velograph.llm.minhash import near_duplicates
 from velograph.llm.packing import pack_documents
 from velograph.llm.periodic import find_periodic_runs
 from velograph.llm.suffixes import remove_repeats, repeat_columns
 from velograph.llm.tokencounts import count_tokens
+from velograph.llm.tokenfiles import read_token_files, write_token_files
 from velograph.llm.training import HELD_OUT
 from velograph.llm.vectors import near_duplicate_vectors
 from velograph.llm.warc import read_archives, write_archives
@@ -243,7 +245,7 @@ def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
 
 # The CRC-32 of an id's decimal text, bit by bit.
 _CRC32_SQL = """
-  SELECT doc_id, CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(
+  SELECT doc_id AS id, CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(
     list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
       lambda x: CAST(ascii(x) AS BIGINT))),
     lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
@@ -254,7 +256,7 @@ _OP11_SQL = rf"""
 WITH crc AS ({_CRC32_SQL}),
 cut AS (
   SELECT row_number() OVER () AS r, d.doc_id, h, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
-  FROM documents d LEFT JOIN crc ON d.doc_id IS NOT DISTINCT FROM crc.doc_id),
+  FROM documents d LEFT JOIN crc ON d.doc_id IS NOT DISTINCT FROM crc.id),
 sized AS (SELECT r, doc_id, h, w, CAST(len(w) AS BIGINT) AS n FROM cut),
 placed AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM sized),
 spun AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed),
@@ -287,6 +289,67 @@ FROM spun LEFT JOIN per_row USING (r) LEFT JOIN (SELECT * FROM ranked WHERE plac
   LEFT JOIN rest USING (r)
 """
 
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return read_token_files(write_token_files(read_table(spark, folder, "documents"), tokenizer_path(), Workspace(spark)))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    manifest = table_manifest(
+        documents, Workspace(spark), present={"n_chars": F.col("n_chars") + 1}, changed=tampered
+    )
+    return fold_leaves(manifest).withColumnRenamed("key", "doc_id")
+
+
+def _digest_sql(n_chars: str) -> str:
+    parts = ["doc_id", "source", "lang", n_chars, "text"]
+    sized = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+    return f"sha256({' || '.join(sized.format(p) for p in parts)})"
+
+
+# Groups are told by k, which sorts like lang with null first; 'top' is the tree over their roots.
+_OP13_SQL = f"""
+WITH RECURSIVE crc AS ({_CRC32_SQL}),
+digests AS (
+  SELECT d.doc_id, coalesce('x' || lang, '') AS k, {_digest_sql('n_chars')} AS leaf,
+    CASE WHEN h % 7 = 0 THEN {_digest_sql('(n_chars + 1)')} ELSE {_digest_sql('n_chars')} END AS present
+  FROM documents d LEFT JOIN crc ON d.doc_id IS NOT DISTINCT FROM crc.id),
+leaves AS (
+  SELECT *, row_number() OVER () AS r, count(*) OVER (PARTITION BY k) AS n,
+    row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM digests),
+nodes(k, level, i, node, n) AS (
+  SELECT k, 0, i, leaf, n FROM leaves
+  UNION ALL
+  SELECT k, any_value(level) + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (any_value(n) + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY k, i // 2),
+subroots AS (
+  SELECT k, node, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, i, node, n) AS (
+  SELECT 0, i, node, n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (any_value(n) + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY i // 2),
+folded(r, k, level, i, n, node, proof) AS (
+  SELECT r, k, 0, i, n, present, '' FROM leaves
+  UNION ALL
+  SELECT f.r, f.k, f.level + 1, f.i // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN f.i % 2 = 1 THEN s.node || f.node ELSE f.node || coalesce(s.node, '') END),
+    f.proof || coalesce(s.node, '')
+  FROM folded f LEFT JOIN nodes s ON s.k = f.k AND s.level = f.level AND s.i = xor(f.i, 1) WHERE f.n > 1),
+above(r, level, i, n, node, proof) AS (
+  SELECT f.r, 0, s.i, s.n, f.node, f.proof FROM folded f JOIN subroots s ON s.k = f.k WHERE f.n = 1
+  UNION ALL
+  SELECT f.r, f.level + 1, f.i // 2, (f.n + 1) // 2,
+    sha256(CASE WHEN f.i % 2 = 1 THEN s.node || f.node ELSE f.node || coalesce(s.node, '') END),
+    f.proof || coalesce(s.node, '')
+  FROM above f LEFT JOIN tops s ON s.level = f.level AND s.i = xor(f.i, 1) WHERE f.n > 1),
+root AS (SELECT node AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, subroots.node AS subroot, root, sha256(proof) AS proof_sha256, above.node AS folded_root,
+  above.node = root AS verified
+FROM leaves JOIN subroots USING (k) JOIN above ON above.r = leaves.r AND above.n = 1, root
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -299,6 +362,8 @@ QUERIES = {
     "op9_minhash": op9_minhash,
     "op10_html": op10_html,
     "op11_periodic": op11_periodic,
+    "op12_token_files": op12_token_files,
+    "op13_merkle": op13_merkle,
 }
 ORACLE_SQLS = {
     "op1_warc": _OP1_SQL,
@@ -307,4 +372,5 @@ ORACLE_SQLS = {
     "op8_suffixes": _OP8_SQL,
     "op9_minhash": _OP9_SQL,
     "op11_periodic": _OP11_SQL,
+    "op13_merkle": _OP13_SQL,
 }
