@@ -3,7 +3,7 @@ import struct
 
 import zstandard
 
-from velograph.llm.common import Workspace
+from velograph.llm.common import Workspace, file_system
 from velograph.llm.warc import (
     DICTIONARY_MAGIC,
     dictionary_frame,
@@ -54,6 +54,36 @@ def test_small_payloads_are_all_responses(spark):
     assert {r["record_type"] for r in rows} == {"response"}
 
 
+def stored_bytes(path):
+    folder, name = path.rsplit("/", 1)
+    system, root = file_system(folder)
+    with system.open_input_stream(f"{root}/{name}", compression=None) as stream:
+        return stream.read()
+
+
+def test_files_open_with_the_dictionary_and_at_any_record(spark):
+    pages = spark.createDataFrame([(k, f"http://a/{k}", f"<p>page {k}</p>" * 50, "x") for k in range(40)], SCHEMA)
+    for row in write_archives(pages, Workspace(spark), archive_bytes=2000).collect():
+        stored = stored_bytes(row["path"])
+        assert len(stored) == row["bytes"]
+        magic, size = struct.unpack("<II", stored[:8])
+        assert magic == DICTIONARY_MAGIC
+        shared, at, found = zstandard.ZstdCompressionDict(stored[8 : 8 + size]), 8 + size, 0
+        while at < len(stored):
+            unpacker = zstandard.ZstdDecompressor(dict_data=shared).decompressobj()
+            record = unpacker.decompress(stored[at:])
+            assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"</p>\r\n\r\n")
+            at, found = len(stored) - len(unpacker.unused_data), found + 1
+        assert found == row["records"]
+
+
+def test_large_pages_share_a_dictionary_too(spark):
+    body = "".join(f"<li>{k * k}</li>" for k in range(12_000))
+    pages = spark.createDataFrame([(k, None, f"<h1>{k}</h1>{body}", "x") for k in range(4)], SCHEMA)
+    archives = write_archives(pages, Workspace(spark)).collect()
+    assert all(struct.unpack("<II", stored_bytes(r["path"])[:8])[1] > 0 for r in archives)
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], SCHEMA)
     assert read_archives(write_archives(pages, Workspace(spark))).count() == 0

@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velograph.llm.common import Workspace
+from velograph.llm.common import Workspace, file_system
 
 # Fixed values of the file format: the skippable frame's magic number and the revisit profile.
 DICTIONARY_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreservation.org/warc/1.1/revisit/identical-payload-digest"
 
-# The dictionary is trained on so many records at most, each of at most so many bytes.
+# The dictionary is trained on so many records at most, and on so many first bytes of each.
 SAMPLE_RECORDS = 500
 SAMPLE_RECORD_BYTES = 64 << 10
 DICTIONARY_BYTES = 64 << 10
@@ -123,12 +123,6 @@ def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def _file_system(folder: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder if "://" in folder else folder.replace("file:", "file://", 1))
-
-
 def choose_responses(pages: DataFrame, work: Workspace, min_bytes: int) -> DataFrame:
     """``pages`` with payload, digest, refers_to and revisit: the largest id of equal payloads is kept.
 
@@ -170,21 +164,25 @@ def write_archives(
     """Archive ``pages`` (page_id, url, html); returns the written archives: path, records, bytes.
 
     A null html is an empty payload, a null url leaves its header out. Without pages there are no
-    archives. Other columns are not archived.
+    archives. Other columns are not archived. Of rows that repeat the kept id and payload each is a
+    response; a page of any length is one record and is held in memory whole. ``bytes`` is the length
+    of the file, of which the dictionary's frame is the first part.
     """
     chosen = choose_responses(pages, work, min_bytes)
+    folder = f"{work.folder}/warc-{uuid4().hex}"
+    file_system(folder)  # fails here, not in tasks, where files cannot be written
     records = pages.select("page_id", F.encode("html", "UTF-8").alias("payload"))
-    records = records.where(F.octet_length("payload").between(1, SAMPLE_RECORD_BYTES))
+    records = records.where(F.octet_length("payload") > 0)
     records = records.withColumn("order", F.xxhash64("page_id", "payload"))
+    records = records.withColumn("payload", F.substring("payload", 1, SAMPLE_RECORD_BYTES))
     # Only hashes are ranked; the records themselves are fetched afterwards, few from each task.
     last = records.select("order").orderBy("order").limit(SAMPLE_RECORDS).agg(F.max("order")).first()[0]
     sample = records.where(F.col("order") <= last).limit(SAMPLE_RECORDS).collect() if last is not None else []
     records = [record_bytes(r[0], None, bytes(r[1]), payload_digest(bytes(r[1])), None, False, "") for r in sample]
     dictionary = train_dictionary(records)
-    folder = f"{work.folder}/warc-{uuid4().hex}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = _file_system(folder)
+        system, root = file_system(folder)
         task = TaskContext.get()
         shared = zstandard.ZstdCompressionDict(dictionary)
         shared.precompute_compress(level=level)
@@ -204,7 +202,8 @@ def write_archives(
                         system.create_dir(root, recursive=True)
                     name = f"{task.partitionId():06d}-{archives:04d}-{task.taskAttemptId()}.warc.zst"
                     path, count, archives = f"{folder}/{name}", 0, archives + 1
-                    out = system.open_output_stream(f"{root}/{name}")
+                    # The name's ending must not make the stream compress once more.
+                    out = system.open_output_stream(f"{root}/{name}", compression=None)
                     size = out.write(dictionary_frame(dictionary))
                 frame = squeeze(record_bytes(page, url, payload, digest, refers, revisit, f"{path}#{count}#{k}"))
                 out.write(frame)
@@ -239,9 +238,9 @@ def read_archives(archives: DataFrame, *, with_payload: bool = False) -> DataFra
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in (p for b in batches for p in b.column("path").to_pylist()):
             folder, name = path.rsplit("/", 1)
-            system, root = _file_system(folder)
+            system, root = file_system(folder)
             rows, held = [], 0
-            with system.open_input_stream(f"{root}/{name}") as stream:
+            with system.open_input_stream(f"{root}/{name}", compression=None) as stream:
                 for headers, block in read_records(stream):
                     http, _, payload = block.partition(b"\r\n\r\n")
                     digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
