@@ -114,8 +114,16 @@ def read_ranks(system, root: str) -> np.ndarray:
     return np.frombuffer(stored[len(RANKS_MARK) :], dtype="<u4")
 
 
+def _narrow(ids: np.ndarray) -> np.ndarray:
+    """In two bytes each where all of a document's ids have room in them."""
+    return ids.astype("<u2") if ids.max(initial=0) < 1 << 16 else ids
+
+
 def _tokenized(source: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """doc_id, row, n, ids of every document; a task's last row has how often it met each id instead."""
+    """doc_id, row, n, ids of every document; a task's last row has how often it met each id instead.
+
+    Ids are of two bytes or of four, all of a document alike.
+    """
     schema = "doc_id BIGINT, row BIGINT, n BIGINT, ids BINARY, counts ARRAY<STRUCT<id: BIGINT, n: BIGINT>>"
     kinds = pa.schema(
         [
@@ -133,15 +141,16 @@ def _tokenized(source: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame
         row = TaskContext.get().partitionId() << _ROW_BITS
         seen = np.zeros(0, dtype=np.int64)
         for batch in chain.from_iterable(slices(b, "text") for b in batches):
-            ids = [encode(t.as_py() or "") + ending for t in batch.column("text")]
-            here = np.bincount(np.frombuffer(b"".join(ids), dtype="<u4"), minlength=len(seen))
+            ids = [np.frombuffer(encode(t.as_py() or "") + ending, dtype="<u4") for t in batch.column("text")]
+            here = np.bincount(np.concatenate(ids), minlength=len(seen))
             here[: len(seen)] += seen
             seen = here
             rows = pa.array(range(row, row + batch.num_rows), type=pa.int64())
             row += batch.num_rows
-            sizes = pa.array([len(i) // 4 for i in ids], type=pa.int64())
+            sizes = pa.array([len(i) for i in ids], type=pa.int64())
+            packed = [_narrow(i).tobytes() for i in ids]
             none = pa.nulls(batch.num_rows, kinds.field("counts").type)
-            columns = [batch.column("doc_id"), rows, sizes, pa.array(ids, type=pa.binary()), none]
+            columns = [batch.column("doc_id"), rows, sizes, pa.array(packed, type=pa.binary()), none]
             yield pa.RecordBatch.from_arrays(columns, schema=kinds)
         if len(seen):
             met = np.flatnonzero(seen)
@@ -200,11 +209,13 @@ def write_token_files(
         name = f"{number:06d}-{task.taskAttemptId()}.ids"
         out, pieces, held, n_documents, n_ids, n_bytes = None, [], 0, 0, 0, 0
         for batch in batches:
-            for key, stored in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
+            names = ("doc_id", "n")
+            for key, n, stored in zip(*(batch.column(c).to_pylist() for c in names), batch.column("ids"), strict=True):
                 if out is None:
                     out = files.open_output_stream(f"{at}/{name}", compression=None)
                     n_bytes = out.write(IDS_MARK)
-                found = ranks[np.frombuffer(stored.as_buffer(), dtype="<u4")]
+                stored = stored.as_buffer()
+                found = ranks[np.frombuffer(stored, dtype=f"<u{stored.size // n}")]
                 n_documents, n_ids = n_documents + 1, n_ids + len(found)
                 while len(found):
                     part, found = found[: block_ids - held], found[block_ids - held :]
@@ -226,7 +237,7 @@ def write_token_files(
     order = ["doc_id", "n", F.xxhash64("ids"), "row"]
     placed = tokenized.where("ids IS NOT NULL").repartitionByRange(files, *order).sortWithinPartitions(*order)
     written = work.keep(
-        placed.select("doc_id", "ids").mapInArrow(
+        placed.select("doc_id", "n", "ids").mapInArrow(
             write, "path STRING, number BIGINT, documents BIGINT, ids BIGINT, bytes BIGINT"
         )
     )
