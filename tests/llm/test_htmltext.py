@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from velograph.llm.htmltext import CONTENT, NOISE, OPEN, extract_text, page_blocks, page_host
@@ -25,12 +27,40 @@ def content(page):
         ("<article hidden><p>no</p></article><article><p>yes</p></article>", ["yes"]),
         ("", []),
         ("<script>never closed", []),
+        ("<article><p class=it's>Hello</p><p>World</p></article>", ["Hello", "World"]),
+        ("<article><p title='a>Hello</p><p>World</p></article>", ["Hello", "World"]),
+        ('<article><p title="a>Hello</p><p>World</p></article>', ["Hello", "World"]),
+        ('<article><p a"b title="x>y" \'>Hello</p></article>', ["Hello"]),
+        ('<article data-class="ad"><p title="class=ad">t</p><p title = "x" class = "ad">no</p></article>', ["t"]),
+        ("<article>a<!-->b<!--x--!>c<!-- <p>d", ["abc"]),
+        ("<article><p>a</b></i>b</div></section>c</article>", ["ab", "c"]),
     ],
 )
 def test_blocks(page, wanted):
     assert content(page) == wanted
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "x" + "</span></section></p>" * 100_000,
+        "<div>" * 100_000 + "<td>x</td>" * 100_000,
+        "<li><div><p>" * 100_000 + "x",
+        "<article>" + "<b>" * 100_000 + "x" + "<p>y" * 100_000,
+        "<article><p>" + "x <a href=' " * 100_000,
+    ],
+)
+def test_deep_nesting_takes_time_in_proportion(page):
+    start = time.perf_counter()
+    assert page_blocks(page)
+    assert time.perf_counter() - start < 3
+
+
+def test_a_very_long_page():
+    text = " ".join(f"word{k}" for k in range(300_000))
+    assert content(f"<article><p class=x>{text}</p>{NAV}<p>end</p></article>") == [text, "end"]
+
+
 def test_without_marked_content_blocks_are_open():
     roles = {t: r for t, r, _ in page_blocks("<body><div class=sidebar>s</div><p>p</p><footer>f</footer>")}
     assert roles == {"s": NOISE, "p": OPEN, "f": NOISE}

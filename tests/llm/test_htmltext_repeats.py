@@ -1,8 +1,11 @@
 """Repeats of a host: near copies, short blocks, names within content, blocks outside of it."""
 
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from velograph.llm.htmltext import CONTENT, NOISE, OPEN, extract_text, page_blocks
+from velograph.llm.htmltext import CONTENT, NOISE, OPEN, _repeated_runs, extract_text, page_blocks
 
 MENU = "<div><span>Start page of the site with many links and a long list of topics</span></div><div>Read more</div>"
 
@@ -38,3 +41,28 @@ def test_names_within_content_put_blocks_in_doubt():
     )
     roles = {t: r for t, r, _ in page_blocks(page)}
     assert roles == {"a": OPEN, "b": OPEN, "c": NOISE, "d": OPEN, "e": CONTENT, "f": NOISE}
+
+
+page_texts = st.lists(st.lists(st.sampled_from(["a", "b", "c d", "a b a"]), min_size=1, max_size=6), min_size=1, max_size=6)
+
+
+@settings(max_examples=300, deadline=None)
+@given(page_texts, st.sampled_from([2, 4]), st.data())
+def test_runs_agree_with_plain_counts(pages, run, data):
+    copies = [data.draw(st.integers(0, 3)) for _ in pages]
+    rows = pd.DataFrame(
+        {"key": range(len(pages)), "host": "h", "texts": pages, "tags": [["p"] * len(p) for p in pages],
+         "copies": copies, "parts": 1}
+    )
+    streams = [[t for text in p for t in ("<p>", *text.split(" "))] for p in pages]
+    seen = {}
+    for stream, group in zip(streams, copies, strict=True):
+        for k in range(len(stream) - run + 1):
+            seen.setdefault(tuple(stream[k : k + run]), set()).add(group)
+    expected = {}
+    for key, stream in enumerate(streams):
+        starts = [k for k in range(len(stream) - run + 1) if len(seen[tuple(stream[k : k + run])]) > 1]
+        if starts:
+            expected[key] = starts
+    found = _repeated_runs(rows, run)
+    assert dict(zip(found["key"], found["starts"], strict=True)) == expected

@@ -51,6 +51,11 @@ class Workspace:
         self._paths[id(written)] = path
         return written
 
+    def pass_on(self, table: DataFrame, view: DataFrame) -> DataFrame:
+        """Let ``view``, which reads nothing but the written ``table``, be dropped in its place."""
+        self._paths[id(view)] = self._paths.pop(id(table))
+        return view
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete written tables that nothing will read again."""
         for table in tables:
@@ -179,7 +184,7 @@ def connected_components(edges: DataFrame, work: Workspace) -> DataFrame:
         work.drop(current, least, large, lower)
         current = following
         if next_state == state:
-            return current.select(F.col("a").alias("id"), F.col("b").alias("component"))
+            return work.pass_on(current, current.select(F.col("a").alias("id"), F.col("b").alias("component")))
         state = next_state
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -76,11 +76,14 @@ _CLOSES = {
     "option": ({"option"}, {"select", "datalist"}),
 }
 
+# A quote opens a value only after an equals sign; one that never closes ends at the tag's end.
+_VALUE = r"=\s*+(?:\"[^\"]*\"|'[^']*'|[\"'][^>]*|[^\s>\"'][^\s>]*)?"
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
-    re.DOTALL,
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|{_VALUE})*+)(?:>|\Z)", re.DOTALL
+)
+_ATTRIBUTE = re.compile(
+    r"([^\s=/\"'>][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|[\"']?([^\s>]*)))?|=\s*(?:\"[^\"]*\"|'[^']*')?"
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop|hidden)(?=[\s=/]|\Z)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME_PARTS = re.compile(r"[a-z]+")
 
 
@@ -88,8 +91,8 @@ _NAME_PARTS = re.compile(r"[a-z]+")
 def _attribute_role(attributes: str, inside: bool) -> int | None:
     """What an element's attributes say of it; inside main content most names only put it in doubt."""
     role = None
-    for name, double, single, bare in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), (double or single or bare).lower()
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "role" and _NOISE_ROLES.intersection(value.split()):
             return NOISE
         if name in ("class", "id") and _NOISE_NAMES.intersection(_NAME_PARTS.findall(value)):
@@ -113,25 +116,74 @@ def _role(tag: str, attributes: str, outer: int) -> int:
     return CONTENT if tag in _CONTENT_TAGS or said == CONTENT else outer
 
 
+class _OpenElements:
+    """The open elements of a page, each with its role and the place of its innermost block element.
+
+    The places of each tag's open elements are kept as well, so that no step looks through all of them:
+    a page takes time in proportion to its length, however deep it nests.
+    """
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, int]] = []
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def role(self) -> int:
+        return self.stack[-1][1] if self.stack else OPEN
+
+    @property
+    def block_place(self) -> int:
+        return self.stack[-1][2] if self.stack else -1
+
+    @property
+    def block(self) -> str:
+        return self.stack[self.block_place][0] if self.block_place >= 0 else "body"
+
+    def push(self, tag: str, role: int) -> None:
+        place = len(self.stack)
+        self.places.setdefault(tag, []).append(place)
+        self.stack.append((tag, role, place if tag in _BLOCK else self.block_place))
+
+    def innermost(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element of one of the tags, -1 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def divides(self, place: int) -> bool:
+        """Whether leaving the elements from ``place`` on ends a block or a role."""
+        outer = self.stack[place - 1][1] if place else OPEN
+        return any(t in _BLOCK or r != outer for t, r, _ in self.stack[place:])
+
+    def pop_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.places[self.stack.pop()[0]].pop()
+
+    def make_room(self, tag: str) -> None:
+        """Close what a block element's start closes: items and cells of its kind, then a paragraph."""
+        closes, scope = _CLOSES.get(tag, (set(), set()))
+        while (place := self.innermost(closes)) > self.innermost(scope):
+            self.pop_to(place)
+        if self.block == "p":
+            self.pop_to(self.block_place)
+
+
 def page_blocks(page: str) -> list[tuple[str, int, str]]:
-    """Text, role and innermost block element of each block, in page order."""
+    """Text, role and innermost block element of each block, in page order.
+
+    Markup that is cut short or wrongly nested loses no text: a quote that opens where no value is due is
+    an ordinary character, a quoted value that never closes ends with its tag, and closing tags without
+    an open element only divide blocks.
+    """
     blocks: list[tuple[str, int, str]] = []
-    stack: list[tuple[str, int]] = []
+    opened = _OpenElements()
     parts: list[str] = []
-    role, block = OPEN, "body"
 
     def flush() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                blocks.append((text, OPEN if role == _DOUBT else role, block))
-
-    def pop_to(depth: int) -> None:
-        nonlocal role, block
-        del stack[depth:]
-        role = stack[-1][1] if stack else OPEN
-        block = next((t for t, _ in reversed(stack) if t in _BLOCK), "body")
+                role = opened.role
+                blocks.append((text, OPEN if role == _DOUBT else role, opened.block))
 
     place = 0
     while match := _TAG.search(page, place):
@@ -146,33 +198,20 @@ def page_blocks(page: str) -> list[tuple[str, int, str]]:
             parts.append(" ")
             continue
         if closing:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None:
-                if any(t in _BLOCK or r != (stack[depth - 1][1] if depth else OPEN) for t, r in stack[depth:]):
+            depth = opened.innermost((tag,))
+            if depth >= 0:
+                if opened.divides(depth):
                     flush()
-                pop_to(depth)
+                opened.pop_to(depth)
             elif tag in _BLOCK:
                 flush()
             continue
         if tag in _BLOCK:
             flush()
-            closes, scope = _CLOSES.get(tag, (set(), set()))
-            if closes:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in scope:
-                        break
-                    if stack[k][0] in closes:
-                        pop_to(k)
-            # A block element closes an open paragraph.
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    pop_to(k)
-                    break
-                if stack[k][0] in _BLOCK:
-                    break
+            opened.make_room(tag)
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCK:
             continue
-        own = _role(tag, attributes, role)
+        own = _role(tag, attributes, opened.role)
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(page, place)
             place = end.start() if end else len(page)
@@ -181,12 +220,9 @@ def page_blocks(page: str) -> list[tuple[str, int, str]]:
             close = page.find(">", place)
             place = close + 1 if close >= 0 else len(page)
             continue
-        if own != role:
+        if own != opened.role:
             flush()
-        stack.append((tag, own))
-        role = own
-        if tag in _BLOCK:
-            block = tag
+        opened.push(tag, own)
     if place < len(page):
         parts.append(page[place:])
     flush()
@@ -321,16 +357,16 @@ def _unique_text(
 
 
 def _copies(single: DataFrame, work: Workspace) -> DataFrame:
-    """Pages with the key of the group of near copies they are in; only hosts with blocks in doubt matter."""
-    hosts = single.where(F.size("open") > 0).select("host").distinct()
-    shown = single.join(hosts, "host", "left_semi")
+    """Pages with the key of the group of near copies they are in."""
     open_texts = F.transform("open", lambda k: F.element_at("texts", k + 1))
     body = F.when(F.size("open") > 0, F.concat_ws("\n", "content", open_texts)).otherwise(F.col("text"))
     found = near_duplicates(
-        work.keep(shown.select("key", body.alias("body"))),
-        doc_id="key", text="body", shingle_words=COPY_WORDS, percent=COPY_PERCENT,
+        single.select("key", body.alias("body")),
+        doc_id="key", text="body", shingle_words=COPY_WORDS, percent=COPY_PERCENT, work=work,
     )
-    return work.keep(found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("copies")))
+    copies = work.keep(found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("copies")))
+    work.drop(found)
+    return copies
 
 
 def extract_text(
@@ -345,23 +381,34 @@ def extract_text(
     """One row per page: page_id, url, text (blocks joined by a newline, empty if none), n_chars.
 
     A null page is empty, pages without URL share the empty host. Pages of a host with the same markup or
-    nearly the same text count as one page when repeats are looked for, so copies do not remove each other. Other columns
+    nearly the same text count as one page when repeats are looked for, so copies do not remove each other;
+    rows that repeat a page each get its text. Markup of any nesting is read in time in proportion to its
+    length, a page of any length as one row; see ``page_blocks`` for markup that is cut short. Other columns
     are not read; without rows there are none.
+
+    Runs are looked for on hosts of which some page has a block in doubt, as they decide on nothing else.
+    Between the steps only keys and places are carried; each written table goes as soon as its last
+    reader is done, but for the parsed pages and the places of runs, which the result reads.
     """
     if run_tokens & (run_tokens - 1):
         raise ValueError("run_tokens must be a power of two")
     work = Workspace(pages.sparkSession)
     source = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
     parsed = work.keep(_parsed(source))
+    n_chars = F.length("text").cast("bigint").alias("n_chars")
+    plain = parsed.where(F.size("open") == 0).select("page_id", "url", "text")
+    in_doubt = work.keep(parsed.where(F.size("open") > 0).select("host").distinct())
+    if in_doubt.isEmpty():
+        return plain.select("*", n_chars)
     # Equal pages have one key and meet in one part.
     fields = ["host", "text", "texts", "tags", "open", "content"]
-    single = work.keep(
-        parsed.where(F.size("texts") > 0).groupBy("key").agg(*(F.first(c).alias(c) for c in fields))
-    )
+    shown = parsed.where(F.size("texts") > 0).join(in_doubt, "host", "left_semi")
+    single = work.keep(shown.groupBy("key").agg(*(F.first(c).alias(c) for c in fields)))
+    copies = _copies(single, work)
     hosts = work.keep(
         single.groupBy("host").agg(F.count("*").alias("n")).select("host", F.ceil(F.col("n") / shard_pages).alias("parts"))
     )
-    grouped = single.select("host", "key", "texts", "tags").join(_copies(single, work), "key", "left")
+    grouped = single.select("host", "key", "texts", "tags").join(copies, "key", "left")
     grouped = grouped.withColumn("copies", F.coalesce("copies", "key"))
     dealt = grouped.join(hosts, "host").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     found = work.keep(
@@ -381,6 +428,7 @@ def extract_text(
     across = runs.where("fresh >= 0").join(shared.select("host", "digests"), ["host", "digests"])
     starts = found.select("key", "starts").unionByName(across.select("key", F.array("fresh").alias("starts")))
     starts = work.keep(starts.groupBy("key").agg(F.flatten(F.collect_set("starts")).alias("starts")))
+    work.drop(found, shared)
 
     # Blocks with fewer tokens than a run, by their tag and whole text.
     brief = grouped.select("host", "key", "copies", F.posexplode(F.arrays_zip("tags", "texts")).alias("at", "block"))
@@ -390,6 +438,7 @@ def extract_text(
     )
     short = brief.join(common.select("host", "block"), ["host", "block"], "left_semi")
     short = work.keep(short.groupBy("key").agg(F.collect_set("at").alias("short")))
+    work.drop(common, copies, single, hosts, in_doubt)
 
     blocks = ["texts", "tags", "open", "content", "before"]
 
@@ -402,7 +451,6 @@ def extract_text(
                 names=["page_id", "url", "text"],
             )
 
-    plain = parsed.where(F.size("open") == 0).select("page_id", "url", "text")
     doubtful = parsed.where(F.size("open") > 0).join(starts, "key", "left").join(short, "key", "left")
     judged = doubtful.select("page_id", "url", *blocks, "starts", "short").mapInArrow(judge, plain.schema)
-    return plain.unionByName(judged).withColumn("n_chars", F.length("text").cast("bigint"))
+    return plain.unionByName(judged).select("*", n_chars)

@@ -231,6 +231,7 @@ def near_duplicates(
     text: str = "text",
     shingle_words: int = SHINGLE_WORDS,
     percent: int = SIMILARITY_PERCENT,
+    work: Workspace | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (least id reachable by links), kept.
 
@@ -238,8 +239,10 @@ def near_duplicates(
     repeat an id and its text give equal rows; an id is expected to have one text, and of several only
     the least is compared in full. A row without id is linked with nothing and has no component.
     Other columns are not read. Without rows there are none.
+
+    The result is a written table of ``work``, whose caller may drop it; all others go before the end.
     """
-    work = Workspace(documents.sparkSession)
+    work = work or Workspace(documents.sparkSession)
     source = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     signed = work.keep(_signatures(source, shingle_words))
     same_set = ["n_shingles", "sum1", "sum2"]
@@ -260,7 +263,9 @@ def near_duplicates(
     texts = work.keep(source.join(involved, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")))
     links = work.keep(_linked(candidates, texts, shingle_words, percent))
 
-    stars = work.keep(connected_components(links, work))
+    work.drop(candidates)
+    stars = connected_components(links, work)
+    work.drop(links)
     grouped = crowded.join(stars, crowded["rep"] == stars["id"], "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
@@ -287,13 +292,19 @@ def near_duplicates(
         .select("u", "v")
         .distinct()
     )
-    more = work.keep(_linked(work.keep(across), texts, shingle_words, percent))
-    final = work.keep(connected_components(stars.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more), work))
+    across = work.keep(across)
+    more = work.keep(_linked(across, texts, shingle_words, percent))
+    work.drop(crowded, buckets, mixed, divided, across, texts)
+    final = connected_components(stars.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more), work)
 
     placed = classes.join(final, classes["rep"] == final["id"], "left").select(
         *same_set, F.coalesce("component", "rep").alias("component_id")
     )
     placed = work.keep(placed)
+    work.drop(stars, more, final, classes)
     found = signed.select("doc_id", *same_set).join(placed, same_set, "left")
     found = found.withColumn("component_id", F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component_id, doc_id) END"))
-    return found.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+    kept = F.expr("doc_id <=> component_id").alias("kept")
+    found = work.keep(found.select("doc_id", "n_shingles", "component_id", kept))
+    work.drop(signed, placed)
+    return found

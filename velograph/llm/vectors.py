@@ -148,7 +148,7 @@ def near_duplicate_vectors(
         .distinct()
     )
 
-    stars = work.keep(connected_components(links, work))
+    stars = connected_components(links, work)
     component = F.coalesce("component", "rep")
     grouped = classes.join(stars, classes["rep"] == stars["id"], "left").select(
         "rep", "embedding", "copies", component.alias("component")
