@@ -23,12 +23,12 @@ class _Irregular(Exception):
 class _Memory(dict):
     """Piece to the bytes of its ids. Pieces not asked for during a whole generation are forgotten."""
 
-    def __init__(self, encode, special: list[str]) -> None:
+    def __init__(self, encode) -> None:
         super().__init__()
-        self._encode, self._special, self._older = encode, special, {}
+        self._encode, self._older = encode, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or any(s in piece for s in self._special):
+        if not piece or piece[0].isspace():
             raise _Irregular
         ids = self._older.get(piece)
         if ids is None:
@@ -56,7 +56,8 @@ class BytePairs:
         self._slow = Tokenizer.from_file(path)
         self._fast = self._ranked(path)
         if self._fast:
-            self._memory = _Memory(self._fast.encode_ordinary, sorted(self._fast.special_tokens_set))
+            self._memory = _Memory(self._fast.encode_ordinary)
+            self._special = sorted(self._fast.special_tokens_set)
 
     @staticmethod
     def _ranked(path: str):
@@ -84,15 +85,12 @@ class BytePairs:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if self._fast is None:
+        if self._fast is None or any(s in text for s in self._special):
             return array("I", self._slow.encode(text, add_special_tokens=False).ids).tobytes()
-        head, _, rest = text.partition(" ")
+        head, space, rest = text.partition(" ")
         try:
-            known = self._memory
-            if any(s in head for s in known._special):
-                raise _Irregular
             first = array("I", self._fast.encode_ordinary(head)).tobytes()
-            return first + b"".join(map(known.__getitem__, rest.split(" "))) if _ else first
+            return first + b"".join(map(self._memory.__getitem__, rest.split(" "))) if space else first
         except _Irregular:
             return array("I", self._slow.encode(text, add_special_tokens=False).ids).tobytes()
 
