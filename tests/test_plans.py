@@ -1,7 +1,5 @@
 """Physical plans: what is read, shuffled and sorted."""
 
-import re
-
 import pytest
 
 from velograph import operators as op
@@ -51,21 +49,54 @@ def test_relocations_window_is_partitioned(trips):
     assert window.count("lag(") == 2
 
 
+def exchanges(df):
+    return [line.strip(" :+-|") for line in plan(df).splitlines() if "Exchange" in line]
+
+
 def test_pagerank_keeps_its_edges_in_place(spark):
-    """The edges are hashed when placed; joining ranks to them moves the ranks only."""
-    from velograph.layout import heavy_keys, slice_rows
+    """The edges are hashed when written; joining ranks to them moves the ranks only."""
+    from velograph.layout import heavy_keys, sliced_table
 
     edges = spark.range(5000).selectExpr("id % 50 AS source", "id % 77 AS target")
     for limit in (10**6, 60):
-        sliced = slice_rows(edges, heavy_keys(edges, "source", limit), ["target"])
-        placed = sliced.rows.sortWithinPartitions(*sliced.join_keys).persist()
-        ranks = spark.range(50).selectExpr("id AS source", "1.0D AS share").repartition(3)
-        joined = placed.hint("merge").join(sliced.spread(ranks), sliced.join_keys)
+        sliced = sliced_table(edges, heavy_keys(edges, "source", limit), ["target"], "edges")
+        session = sliced.tables.session
+        ranks = session.range(50).selectExpr("id AS source", "1.0D AS share").repartition(3)
+        joined = sliced.rows.hint("merge").join(sliced.spread(ranks), sliced.join_keys)
         assert joined.count() == 5000
-        above_cache = re.split(r"InMemoryRelation", plan(joined))[0]
-        edge_side = [line for line in above_cache.splitlines() if "Exchange" in line and "target" in line]
-        assert edge_side == []
-        placed.unpersist()
+        assert "velograph_edges" in plan(joined) and not any("target" in e for e in exchanges(joined))
+        # Read as sorted: the edges' side of the join has no sort either.
+        assert all("target" not in line for line in plan(joined).splitlines() if " Sort [" in line)
+        sliced.tables.close()
+
+
+def test_an_iteration_of_pagerank_shuffles_partial_sums_only(spark, monkeypatch):
+    from velograph.layout.buckets import BucketedTables
+
+    seen = []
+    monkeypatch.setattr(BucketedTables, "hand_back", lambda self, df: seen.append(exchanges(df)) or df)
+    op.pagerank(spark.range(5000).selectExpr("id % 50 AS source", "id % 77 AS target"), max_iterations=3)
+    hashed = [e for e in seen[0] if "BroadcastExchange" not in e]
+    assert len(hashed) == 3 and all("hashpartitioning(id" in e for e in hashed)
+
+
+def test_a_round_of_the_path_search_moves_candidates_only(spark):
+    from velograph.layout import heavy_keys, sliced_table
+    from velograph.operators.paths import _first_state, _improvements
+
+    edges = spark.range(5000).selectExpr("id % 50 AS source", "id % 77 AS target", "id % 9 AS weight")
+    sliced = sliced_table(edges, heavy_keys(edges, "source", 10**6), ["target"], "edges")
+    _first_state(sliced.tables, "bigint", 1)
+    known = sliced.tables.read("known0")
+    better = _improvements(sliced, known, known.filter("round = 0 AND improved"), 0)
+    text = plan(better)
+    hashed = [e for e in exchanges(better) if "BroadcastExchange" not in e]
+    assert len(hashed) == 1 and "hashpartitioning(id" in hashed[0]
+    # The one exchange is below the join with the known nodes, on the side of the edges.
+    above, below = text.split("Exchange hashpartitioning", 1)
+    assert "velograph_edges" not in above and "velograph_edges" in below
+    assert text.count("Bucketed: true") == 3
+    sliced.tables.close()
 
 
 @pytest.mark.parametrize("name", ["station_trip_balance", "vehicle_relocations_all", "shortest_paths",

@@ -1,8 +1,8 @@
 """How rows are laid out over tasks: lineage cuts, hot keys and row positions."""
 
-from velograph.layout.lineage import cut_lineage, shuffle_partitions
+from velograph.layout.lineage import cut_lineage
 from velograph.layout.positions import ROW_ID, number_rows, with_row_ids
-from velograph.layout.skew import ROWS_PER_TASK, HeavyKeys, SlicedRows, heavy_keys, slice_rows
+from velograph.layout.skew import ROWS_PER_TASK, HeavyKeys, SlicedRows, heavy_keys, sliced_table
 
 __all__ = [
     "HeavyKeys",
@@ -12,7 +12,6 @@ __all__ = [
     "cut_lineage",
     "heavy_keys",
     "number_rows",
-    "shuffle_partitions",
-    "slice_rows",
+    "sliced_table",
     "with_row_ids",
 ]

@@ -7,11 +7,6 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    """Number of shuffle partitions the session is configured for."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder; fall back to a temporary one in local mode only."""
     context = spark.sparkContext

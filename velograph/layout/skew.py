@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from velograph.layout.buckets import BucketedTables, buckets_for
 from velograph.layout.lineage import cut_lineage
 
 # A side of at most this many narrow rows (a key and a count, some tens of MB) may be broadcast.
@@ -19,9 +20,6 @@ BROADCAST_ROWS = 1_000_000
 # Rows of one key that a single task may take.
 ROWS_PER_TASK = 5_000_000
 
-# Rows that are worth a partition of their own.
-ROWS_PER_PARTITION = 100_000
-
 
 @dataclass
 class HeavyKeys:
@@ -39,9 +37,9 @@ class HeavyKeys:
         return self.count > 0
 
     @property
-    def partitions(self) -> int:
-        """Partitions to place the rows in: as many as their number is worth."""
-        return max(1, -(-self.total_rows // ROWS_PER_PARTITION))
+    def buckets(self) -> int:
+        """Buckets to place the rows in: as many as their number is worth."""
+        return buckets_for(self.table.sparkSession, self.total_rows)
 
     def for_join(self, *columns: str) -> DataFrame:
         """``columns`` of the table, broadcast when its counted size allows it.
@@ -73,11 +71,12 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> HeavyKeys:
 
 @dataclass
 class SlicedRows:
-    """Rows hashed on ``join_keys``: the key, and the slice where some key is heavy."""
+    """Rows in a written table, hashed on ``join_keys``: the key, and the slice where some key is heavy."""
 
     rows: DataFrame
     join_keys: list[str]
     heavy: HeavyKeys
+    tables: BucketedTables
 
     def spread(self, df: DataFrame) -> DataFrame:
         """Copy each row of ``df``, one per key, to every slice of its key."""
@@ -91,15 +90,38 @@ class SlicedRows:
             .drop("slices")
         )
 
+    def description(self) -> dict:
+        """What a later run needs to take the table up again, for ``sliced_table``."""
+        return {
+            "buckets": self.tables.buckets,
+            "key": self.heavy.key,
+            "heavy": self.heavy.count,
+            "total_rows": self.heavy.total_rows,
+            "columns": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.rows.schema),
+        }
+
 
-def slice_rows(df: DataFrame, heavy: HeavyKeys, spread_by: list[str]) -> SlicedRows:
-    """Hash ``df`` on its key, the rows of a heavy key being told apart by ``spread_by``.
+def sliced_table(
+    df: DataFrame | None, heavy: HeavyKeys | None, spread_by: list[str], name: str, folder: str | None = None,
+    found: dict | None = None, spark: SparkSession | None = None,
+) -> SlicedRows:
+    """Write ``df`` hashed on its key, the rows of a heavy key being told apart by ``spread_by``.
 
     The slice is hashed rather than drawn at random, so that a retried task puts every row where
-    it was before. The explicit repartition also frees the join below it from a demand on its
-    partitioning, so adaptive execution may split that join.
+    it was before. With ``folder`` the table stays there for a later run, which passes the
+    ``description`` that it kept as ``found``, and no rows.
     """
+    if found is not None:
+        tables = BucketedTables(spark, found["buckets"], folder)
+        join_keys = [found["key"], "slice"] if found["heavy"] else [found["key"]]
+        tables.find(name, found["columns"], join_keys)
+        table = None
+        if found["heavy"]:
+            table = tables.session.read.parquet(f"{folder}/{name}-heavy")
+        heavy = HeavyKeys(table, found["key"], found["heavy"], found["total_rows"])
+        return SlicedRows(tables.read(name), join_keys, heavy, tables)
     key, join_keys = heavy.key, [heavy.key]
+    tables = BucketedTables(df.sparkSession, heavy.buckets, folder)
     if heavy:
         join_keys = [key, "slice"]
         slice_no = F.pmod(F.xxhash64(*spread_by), F.col("slices")).cast("int")
@@ -108,4 +130,10 @@ def slice_rows(df: DataFrame, heavy: HeavyKeys, spread_by: list[str]) -> SlicedR
             .withColumn("slice", F.coalesce(slice_no, F.lit(0)))
             .drop("slices")
         )
-    return SlicedRows(df.repartition(heavy.partitions, *join_keys), join_keys, heavy)
+        # The session of the tables reads the heavy keys from files, as a later run does.
+        path = f"{tables.folder}/{name}-heavy"
+        heavy.table.write.mode("overwrite").parquet(path)
+        heavy = HeavyKeys(tables.session.read.parquet(path), key, heavy.count, heavy.total_rows)
+    tables.delete(name)
+    tables.write(name, tables.place(df, join_keys), join_keys)
+    return SlicedRows(tables.read(name), join_keys, heavy, tables)

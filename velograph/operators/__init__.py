@@ -13,7 +13,7 @@ from velograph.operators.frontier import (
     settle,
 )
 from velograph.operators.pagerank import pagerank, rank_listing
-from velograph.operators.paths import shortest_paths
+from velograph.operators.paths import paths_to, shortest_path_tree, shortest_paths
 from velograph.operators.stations import station_trip_balance, station_trip_balance_join
 from velograph.operators.vehicles import relocation_flags, top_n_vehicles, vehicle_relocations
 
@@ -34,9 +34,11 @@ __all__ = [
     "node_count",
     "out_degree",
     "pagerank",
+    "paths_to",
     "rank_listing",
     "relocation_flags",
     "settle",
+    "shortest_path_tree",
     "shortest_paths",
     "station_trip_balance",
     "station_trip_balance_join",
