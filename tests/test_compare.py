@@ -106,3 +106,39 @@ def test_other_columns_are_refused(spark, other):
     for compare in (lambda: op.diff_by_key(left, right, ["k"]), lambda: op.diff_as_multiset(left, right)):
         with pytest.raises(ValueError, match="columns differ"):
             compare()
+
+
+def test_very_many_copies_of_a_row(spark, rows):
+    """A million copies are one row from the first step on, on either side and next to others."""
+    def side(copies, after):
+        head = spark.range(copies).select(F.lit(1).alias("k"), F.lit("copy").alias("v"))
+        return head.unionByName(spark.range(after).select((F.col("id") + 2).cast("int").alias("k"), F.lit("x").alias("v")))
+
+    assert rows(op.diff_by_position(side(1_000_000, 5), side(1_000_000, 5), ["k"], ["v"])) == [(1_000_005, 1_000_005, 0, True)]
+    assert rows(op.diff_by_position(side(1_000_000, 5), side(999_999, 5), ["k"], ["v"])) == [(1_000_005, 1_000_004, 2, False)]
+    assert rows(op.diff_by_position(side(1_000_000, 0), side(3, 7), ["k"], ["v"])) == [(1_000_000, 10, 999_997, False)]
+
+
+def test_each_side_is_written_once(make, rows, monkeypatch):
+    from velograph.layout import positions
+
+    counts = []
+    write = positions.written
+    monkeypatch.setattr(positions, "written", lambda df: counts.append(write(df)) or counts[-1])
+    monkeypatch.setattr(positions, "cut_lineage", None)
+    left, right = make([(k % 7, "x") for k in range(70)]), make([(k, "x") for k in range(9)])
+    assert rows(op.diff_by_position(left, right, ["k"], ["k", "v"])) == [(70, 9, 69, False)]
+    assert [df.count() for df in counts] == [7, 9]
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 1 << 18])
+def test_runs_cut_at_any_position(make, rows, monkeypatch, stretch):
+    from velograph.operators import compare
+
+    monkeypatch.setattr(compare, "_STRETCH", stretch)
+    left = [(1, "a")] * 4 + [(2, "b")] * 2 + [(3, None)] * 3 + [(4, "d")]
+    right = [(1, "a")] * 3 + [(2, "b")] * 3 + [(3, None)] * 2
+    differing = sum(x != y for x, y in zip(left, right, strict=False)) + len(left) - len(right)
+    assert rows(op.diff_by_position(make(left), make(right), ["k"], ["v"])) == [(10, 8, differing, False)]
+    assert rows(op.diff_by_position(make([]), make(right), ["k"], ["v"])) == [(0, 8, 8, False)]
+    assert rows(op.diff_by_position(make([]), make([]), ["k"], ["v"])) == [(0, 0, 0, True)]

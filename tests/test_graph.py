@@ -304,3 +304,16 @@ def test_a_long_chain(make_edges, rows):
     edges = [(k, k + 1, 1) for k in range(60)]
     found = rows(op.shortest_paths(make_edges(edges), 0, include_sinks=True))
     assert found == [(k, k, "-".join(map(str, range(k + 1)))) for k in range(61)]
+
+
+def test_only_hubs_are_written_and_once(make_edges, rows, monkeypatch):
+    from velograph.operators import adjacency
+
+    tables = []
+    write = adjacency.written
+    monkeypatch.setattr(adjacency, "written", lambda df: tables.append(write(df)) or tables[-1])
+    data = [(1, k % 40, 1) for k in range(100)] + [(2, k, 1) for k in range(5)]
+    assert len(rows(op.build_adjacency(make_edges(data), 1000))) == 40 and tables == []
+    got = rows(op.build_adjacency(make_edges(data), 30))
+    assert [len(n) for i, _, _, n in sorted(got) if i == 1] == [30, 30, 30, 10]
+    assert [{(r["source"], r["copies"]) for r in t.collect()} for t in tables] == [{(1, 2), (1, 3)}]

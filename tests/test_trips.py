@@ -179,3 +179,20 @@ def test_flags_are_set_on_the_trip_after_a_move(make_trips, rows_per_task):
            for r in flags if r.moved_from_station is not None]
     assert sorted(got) == moves_by_hand([t for t in data if t[0] is not None])
     assert all(r.moved_from_time is None for r in flags if r.moved_from_station is None)
+
+
+def test_only_hot_histories_are_written(spark, rows, monkeypatch):
+    """Rides of other vehicles, and of none, are read and windowed but not written."""
+    from velograph.operators import vehicles
+
+    trips = [(1, f"{k:03d}", f"{k:03d}x", 1, "A" if k % 3 else "B", "C" if k % 4 else "A", "u", k) for k in range(90)]
+    trips += [(v, f"{k:03d}", f"{k:03d}x", 1, "A", "B", "u", k) for v in (2, 3, None) for k in range(8)]
+    columns = "bike_id INT, start_time STRING, stop_time STRING, trip_duration INT, start_station_name STRING"
+    table = spark.createDataFrame(trips, f"{columns}, stop_station_name STRING, user_type STRING, trip_id INT")
+    written = []
+    cut, ids = vehicles.cut_lineage, vehicles.with_row_ids
+    monkeypatch.setattr(vehicles, "cut_lineage", lambda df: written.append(cut(df)) or written[-1])
+    monkeypatch.setattr(vehicles, "with_row_ids", lambda df: written.append(ids(df)) or written[-1])
+    split = rows(op.vehicle_relocations(table, rows_per_task=20))
+    assert [{r["bike_id"] for r in df.collect()} for df in written] == [{1}, {1}]
+    assert split == rows(op.vehicle_relocations(table)) and len(split) > 40

@@ -1,7 +1,7 @@
 """How rows are laid out over tasks: lineage cuts, hot keys and row positions."""
 
-from velograph.layout.lineage import cut_lineage
-from velograph.layout.positions import ROW_ID, number_rows, with_row_ids
+from velograph.layout.lineage import cut_lineage, written
+from velograph.layout.positions import ROW_ID, number_rows, number_runs, with_row_ids
 from velograph.layout.skew import ROWS_PER_TASK, HeavyKeys, SlicedRows, heavy_keys, sliced_table
 
 __all__ = [
@@ -12,6 +12,8 @@ __all__ = [
     "cut_lineage",
     "heavy_keys",
     "number_rows",
+    "number_runs",
     "sliced_table",
     "with_row_ids",
+    "written",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +29,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written now, as compressed columns in the checkpoint folder, to be read more than once.
+
+    Like a checkpoint it survives the loss of any executor, but readers take only the columns they
+    need. The files go when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/written-{uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

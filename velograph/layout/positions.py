@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velograph.layout.lineage import cut_lineage
+from velograph.layout.lineage import cut_lineage, written
 
 # monotonically_increasing_id() keeps the row's index within its partition in the low 33 bits.
 _INDEX_BITS = 33
@@ -50,3 +50,27 @@ def number_rows(df: DataFrame, order_by: Sequence[str], keep: Sequence[str]) ->
     return placed.join(F.broadcast(offsets), "_part").select(
         *keep, (F.col("_offset") + F.col("_index") + 1).alias("position")
     )
+
+
+def number_runs(df: DataFrame, order_by: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """Equal rows as one: the columns ``keep``, ``copies``, and ``first``, the position of the first copy.
+
+    Positions count from 0 in the order of ``order_by``, then of ``keep``. Equal rows are combined before
+    the shuffle, so any number of copies is one row from then on. The runs are range-sorted over all
+    tasks and written once; sums within each partition and one offset per partition give the positions.
+    """
+    keys = list(dict.fromkeys([*order_by, *keep]))
+    runs = df.groupBy(*keys).agg(F.count("*").alias("copies"))
+    placed = written(runs.orderBy(*keys).withColumn("_part", F.spark_partition_id()))
+    # One row per partition: small whatever the data, hence the unpartitioned window and broadcast.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy("_part")
+        .agg(F.sum("copies").alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    before = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    counted = placed.withColumn("_before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
+    return counted.join(F.broadcast(offsets), "_part").select(
+        *keep, "copies", (F.col("_offset") + F.col("_before")).alias("first")
+    )

@@ -25,13 +25,14 @@ ROWS_PER_TASK = 5_000_000
 class HeavyKeys:
     """Keys with too many rows for one task: ``key, n_rows, slices``, and how many there are.
 
-    ``total_rows`` is the number of rows of all keys.
+    ``total_rows`` is the number of rows of all keys, ``heavy_rows`` that of the heavy ones.
     """
 
     table: DataFrame
     key: str
     count: int
     total_rows: int
+    heavy_rows: int
 
     def __bool__(self) -> bool:
         return self.count > 0
@@ -66,7 +67,8 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int) -> HeavyKeys:
     )
     # Written once: the counts are not made again for the keys that are heavy.
     heavy = cut_lineage(heavy)
-    return HeavyKeys(heavy, key, heavy.count(), observed.get["total"])
+    count, rows = heavy.agg(F.count("*"), F.coalesce(F.sum("n_rows"), F.lit(0))).first()
+    return HeavyKeys(heavy, key, count, observed.get["total"], rows)
 
 
 @dataclass
@@ -97,6 +99,7 @@ class SlicedRows:
             "key": self.heavy.key,
             "heavy": self.heavy.count,
             "total_rows": self.heavy.total_rows,
+            "heavy_rows": self.heavy.heavy_rows,
             "columns": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.rows.schema),
         }
 
@@ -118,7 +121,7 @@ def sliced_table(
         table = None
         if found["heavy"]:
             table = tables.session.read.parquet(f"{folder}/{name}-heavy")
-        heavy = HeavyKeys(table, found["key"], found["heavy"], found["total_rows"])
+        heavy = HeavyKeys(table, found["key"], found["heavy"], found["total_rows"], found["heavy_rows"])
         return SlicedRows(tables.read(name), join_keys, heavy, tables)
     key, join_keys = heavy.key, [heavy.key]
     tables = BucketedTables(df.sparkSession, heavy.buckets, folder)
@@ -133,7 +136,7 @@ def sliced_table(
         # The session of the tables reads the heavy keys from files, as a later run does.
         path = f"{tables.folder}/{name}-heavy"
         heavy.table.write.mode("overwrite").parquet(path)
-        heavy = HeavyKeys(tables.session.read.parquet(path), key, heavy.count, heavy.total_rows)
+        heavy = HeavyKeys(tables.session.read.parquet(path), key, heavy.count, heavy.total_rows, heavy.heavy_rows)
     tables.delete(name)
     tables.write(name, tables.place(df, join_keys), join_keys)
     return SlicedRows(tables.read(name), join_keys, heavy, tables)

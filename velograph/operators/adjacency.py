@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velograph.layout import cut_lineage
+from velograph.layout import HeavyKeys, heavy_keys, written
 
 # Neighbours in one list: 8 MB of BIGINT ids.
 NEIGHBOURS_PER_BLOCK = 1_000_000
@@ -56,56 +56,53 @@ def build_adjacency(
     gaps, the last one holding what is left: block k has the neighbours k * size to (k + 1) * size
     - 1. ``num_neighbours`` is the node's total in each of them.
 
-    Parallel edges are combined, and the pairs range-sorted over all tasks and written once. A
-    pair's place among its node's neighbours follows from running sums within each partition and
-    one offset per partition, so no task holds more of a hub than a partition or a block.
+    Nodes whose neighbours fit into one block, found by a counting pass, are put together by one
+    shuffle and never written. Of the others, the hubs, parallel edges are combined and the pairs
+    range-sorted and written once, as columns; a pair's place among its node's neighbours follows
+    from sums per node and partition, so no task holds more of a hub than a partition or a block.
     """
     edges = complete_edges(edges, "source", "target", drop_incomplete=drop_incomplete)
+    hubs = heavy_keys(edges, "source", neighbours_per_block)
     # Each edge also names its target as a node without neighbour, so that sinks are kept.
-    edge = F.struct("source", "target", F.lit(1).alias("copies"))
-    bare_target = F.struct(
-        F.col("target").alias("source"),
-        F.lit(None).cast(edges.schema["target"].dataType).alias("target"),
-        F.lit(0).alias("copies"),
+    none = F.lit(None).cast(edges.schema["target"].dataType).alias("target")
+    named = edges.select(F.inline(F.array(F.struct("source", "target"), F.struct(F.col("target").alias("source"), none))))
+    if hubs:
+        named = named.join(hubs.for_join("source"), "source", "left_anti")
+    listed = named.groupBy(F.col("source").alias("id")).agg(
+        F.count("target").alias("num_neighbours"), F.sort_array(F.collect_list("target")).alias("neighbours")
     )
-    sorted_pairs = (
-        edges.select(F.inline(F.array(edge, bare_target)))
-        .groupBy("source", "target")
-        .agg(F.sum("copies").alias("copies"))
-        .orderBy("source", F.asc_nulls_first("target"))
+    listed = listed.select("id", "num_neighbours", F.lit(0).alias("block"), "neighbours")
+    return listed.unionByName(_hub_blocks(edges, hubs, neighbours_per_block)) if hubs else listed
+
+
+def _hub_blocks(edges: DataFrame, hubs: HeavyKeys, neighbours_per_block: int) -> DataFrame:
+    """The blocks of the hubs' neighbours."""
+    pairs = edges.join(hubs.for_join("source"), "source", "left_semi").groupBy("source", "target")
+    pairs = pairs.agg(F.count("*").alias("copies"))
+    n_parts = max(1, -(-hubs.heavy_rows // neighbours_per_block))
+    placed = written(
+        pairs.repartitionByRange(n_parts, "source", "target")
+        .sortWithinPartitions("source", "target")
+        .withColumn("_part", F.spark_partition_id())
     )
-    placed = cut_lineage(sorted_pairs.withColumn("_part", F.spark_partition_id()))
-    # One row per partition: small whatever the data, hence the unpartitioned window and broadcast.
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("_part").agg(F.sum("copies").alias("_sum"))
-    offsets = offsets.select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
-    before = Window.partitionBy("_part").orderBy("source", F.asc_nulls_first("target"))
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    numbered = placed.withColumn("_before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
-    numbered = cut_lineage(
-        numbered.join(F.broadcast(offsets), "_part").select(
-            "source", "target", "copies", (F.col("_before") + F.col("_offset")).alias("place")
-        )
-    )
-    # Written: the join below is then of two plain exchanges, and adaptive execution splits a hub.
-    nodes = cut_lineage(
-        numbered.groupBy("source").agg(
-            F.min("place").alias("first"), F.sum("copies").alias("num_neighbours")
-        )
-    )
-    size = F.lit(neighbours_per_block)
-    start = F.col("place") - F.col("first")
-    first_block = F.floor(start / size)
-    last_block = F.floor((start + F.greatest(F.col("copies"), F.lit(1)) - 1) / size)
-    # A node's bare row stands in front, at place 0, and adds no neighbour.
-    in_block = F.least(start + F.col("copies"), (F.col("block") + 1) * size) - F.greatest(
-        start, F.col("block") * size
+    # One row per hub and partition of it: what its earlier partitions hold.
+    earlier = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("source", "_part").agg(F.sum("copies").alias("_sum"))
+    offsets = offsets.select(
+        "source",
+        "_part",
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_sum").over(Window.partitionBy("source")).alias("num_neighbours"),
     )
+    before = Window.partitionBy("source", "_part").orderBy("target").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = placed.withColumn("_before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
+    size, start = F.lit(neighbours_per_block), F.col("_before") + F.col("_offset")
+    first_block, last_block = F.floor(start / size), F.floor((start + F.col("copies") - 1) / size)
+    in_block = F.least(start + F.col("copies"), (F.col("block") + 1) * size) - F.greatest(start, F.col("block") * size)
     return (
-        numbered.join(nodes, "source")
+        numbered.join(offsets, ["source", "_part"])
         .withColumn("block", F.explode(F.sequence(first_block, last_block)))
         .withColumn("listed", F.array_repeat("target", in_block.cast("int")))
-        .where((F.col("copies") > 0) | (F.col("num_neighbours") == 0))
         .groupBy(F.col("source").alias("id"), F.col("block").cast("int").alias("block"))
         .agg(
             F.first("num_neighbours").alias("num_neighbours"),

@@ -7,13 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velograph.functions import squeeze
-from velograph.layout import number_rows
+from velograph.layout import number_runs
 from velograph.sources.listings import LINE_ORDER
 
+# Positions that one task compares.
+_STRETCH = 1 << 18
+
 
 def diff_listings(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Compare two listings (``read_listing``) line by line, white space ignored.
@@ -28,16 +31,48 @@ def diff_by_position(
 ) -> DataFrame:
     """Compare ``columns`` of the n-th row of one side with the n-th row of the other.
 
-    ``order_by`` has to order the rows of a side completely. White space within the values is
-    ignored. A row without partner differs.
+    ``order_by`` has to order the rows of a side completely; rows that it does not tell apart are taken
+    in the order of their values. White space within the values is ignored. A row without partner differs.
+
+    Equal rows are one run with a number of copies, and each side is written once, as its runs. Runs are
+    cut at fixed positions, and the two sides of each stretch of positions meet in one task, which steps
+    from one run's start to the next: a run of many copies is compared as a whole.
     """
+    values = F.struct(_values(columns).alias("shown"))
+
+    def cut(df: DataFrame, side: int) -> DataFrame:
+        runs = number_runs(df.select(*order_by, values.alias("values")), order_by, ["values"])
+        last = F.col("first") + F.col("copies") - 1
+        blocks = F.sequence(F.expr(f"first div {_STRETCH}"), F.floor(last / _STRETCH).cast("bigint"))
+        start = F.greatest("first", F.col("block") * _STRETCH)
+        end = F.least(last + 1, (F.col("block") + 1) * _STRETCH)
+        return runs.withColumn("block", F.explode(blocks)).select(
+            "block", start.alias("start"), end.alias("end"), "values", F.lit(side).alias("side")
+        )
 
-    def positioned(df: DataFrame, values: str) -> DataFrame:
-        return number_rows(df.select(*order_by, _values(columns).alias(values)), order_by, [values])
+    met = cut(expected, 0).unionByName(cut(actual, 1))
+    in_order = Window.partitionBy("block").orderBy("start", "side")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = F.struct("values", "end")
+    steps = met.select(
+        "*",
+        F.last(F.when(F.col("side") == 0, run), ignorenulls=True).over(so_far).alias("left"),
+        F.last(F.when(F.col("side") == 1, run), ignorenulls=True).over(so_far).alias("right"),
+        F.coalesce(F.lead("start").over(in_order), (F.col("block") + 1) * _STRETCH).alias("until"),
+    )
 
-    left = positioned(expected, "left_values")
-    right = positioned(actual, "right_values")
-    return _summary(left.join(right, "position", "full"))
+    def reach(side: str) -> Column:
+        """Positions that the side has from here to the next step."""
+        return F.greatest(F.least(F.coalesce(F.col(f"{side}.end"), F.lit(0)), F.col("until")) - F.col("start"), F.lit(0))
+
+    both, either = F.least(reach("left"), reach("right")), F.greatest(reach("left"), reach("right"))
+    same = F.col("left.values").eqNullSafe(F.col("right.values"))
+    return _verdict(
+        steps,
+        F.sum(F.when(F.col("side") == 0, F.col("end") - F.col("start"))),
+        F.sum(F.when(F.col("side") == 1, F.col("end") - F.col("start"))),
+        F.sum(either - F.when(same, both).otherwise(F.lit(0))),
+    )
 
 
 def diff_by_key(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:

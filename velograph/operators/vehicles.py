@@ -90,17 +90,17 @@ def _time_order(tie_break: Sequence[str]) -> list[str]:
 
 
 def _flag(rides: DataFrame, counted: DataFrame, order: list[str], rows_per_task: int) -> DataFrame:
-    """Rides with their relocation flags; where some vehicle is hot, histories are cut into pieces."""
+    """Rides with their relocation flags; the histories of hot vehicles, and no others, are cut into pieces."""
     heavy = heavy_keys(counted, "bike_id", rows_per_task)
     if not heavy:
         return _look_back(rides, [], order)
+    hot = heavy.for_join("bike_id")
     # Twice as many pieces as would just do: the ranges are estimated from a sample.
-    n_pieces = -(-2 * heavy.total_rows // rows_per_task)
-    return (
-        _look_back(_split_by_time(rides, order, n_pieces), ["chunk"], [F.desc("handed_on"), *order])
-        .filter(~F.col("handed_on"))
-        .drop("chunk", "handed_on")
-    )
+    n_pieces = -(-2 * heavy.heavy_rows // rows_per_task)
+    pieces = _split_by_time(rides.join(hot, "bike_id", "left_semi"), order, n_pieces)
+    cut = _look_back(pieces, ["chunk"], [F.desc("handed_on"), *order]).filter(~F.col("handed_on"))
+    # A ride of an unknown vehicle matches no hot one and stays here.
+    return _look_back(rides.join(hot, "bike_id", "left_anti"), [], order).unionByName(cut.drop("chunk", "handed_on"))
 
 
 def _look_back(rides: DataFrame, groups: list[str], order: list[str | Column]) -> DataFrame:

@@ -179,8 +179,17 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({_PATH_RESULT})""",
     "best_frontier_edge": f"WITH {FLOW}, {_STEP} SELECT * FROM best",
     "settled_paths": f"WITH {FLOW}, {_STEP} SELECT * FROM settled",
-    "unused_edges": f"""WITH {FLOW}, {_STEP}
-        SELECT flow.* FROM flow ANTI JOIN best ON source = candidate_source AND target = candidate_target""",
+    "unused_edges": """
+        SELECT source, target, weight
+        FROM (SELECT 2 * l_suppkey + 1 AS source, 2 * o_custkey AS target, CAST(l_quantity AS INT) AS weight
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+              UNION ALL
+              SELECT 2 * o_custkey, 2 * l_suppkey + 1, CAST(l_quantity AS INT)
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+              WHERE l_returnflag = 'R')
+        WHERE source <> 1 OR target <> (
+            SELECT 2 * o_custkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            WHERE l_suppkey = 0 ORDER BY CAST(l_quantity AS INT), o_custkey LIMIT 1)""",
     "unvisited_targets": f"""WITH {FLOW}, {_STEP}
         SELECT * FROM flow WHERE target IN (SELECT id FROM settled WHERE cost = -1)""",
     "union_frontier": f"WITH {FLOW}, {_STEP} SELECT * FROM frontier UNION ALL SELECT * FROM leaving",
