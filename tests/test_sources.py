@@ -1,15 +1,19 @@
 """Text readers and writers on temporary files."""
 
 import pytest
+from pyspark.sql import Observation
 
 from velograph import operators as op
 from velograph.sources.listings import LINE_ORDER
 from velograph.sources import (
+    malformed_edges,
+    malformed_trips,
     rank_listing_lines,
     read_edges,
     read_edges_strict,
     read_listing,
     read_trips,
+    rejected_edges,
     row_listing,
     write_listing,
 )
@@ -142,3 +146,42 @@ def test_part_files_follow_their_number(spark, tmp_path, rows):
     (tmp_path / "other.txt").write_text("other\n")
     lines = read_listing(spark, str(tmp_path)).orderBy(*LINE_ORDER)
     assert [r["line"] for r in lines.collect()] == ["other", "3", "99999", "100000"]
+
+
+def test_a_report_counts_what_became_null(spark, folder, rows):
+    path = folder(a="1 2 3\n4 x 5\n6 7\n", b="8 9 10 11\n1 2 z\n")
+    report = Observation()
+    edges = read_edges(spark, path, report)
+    assert edges.columns == ["source", "target", "weight"]
+    assert sorted(rows(edges), key=repr) == sorted(rows(read_edges(spark, path)), key=repr)
+    assert report.get == {"lines": 5, "malformed_lines": 4, "null_source": 0, "null_target": 1, "null_weight": 2}
+    found = sorted((r["file"].rsplit("/", 1)[1], r["line_number"], r["line"]) for r in malformed_edges(spark, path).collect())
+    assert found == [("a.txt", 2, "4 x 5"), ("a.txt", 3, "6 7"), ("b.txt", 1, "8 9 10 11"), ("b.txt", 2, "1 2 z")]
+
+
+def test_a_report_of_trips(spark, folder):
+    path = folder(a=TRIPS + TRIPS.splitlines()[0].replace(",600,", ",long,") + "\n")
+    report = Observation()
+    read_trips(spark, path, report).count()
+    assert report.get["lines"] == 5 and report.get["malformed_lines"] == report.get["null_trip_duration"] == 1
+    assert [(r["line_number"], ",long," in r["line"]) for r in malformed_trips(spark, path).collect()] == [(5, True)]
+
+
+def test_rejected_lines_have_their_file_and_number(spark, folder, rows):
+    many = "".join(f"{k} {k + 1} 1\n" for k in range(4000))
+    path = folder(a="1 2 3\n\n4 5 6\nx 1 1\n", b=many + "7 8\n" + many, c="1 2 no\n")
+    expected = [("a.txt", 2, "", "expected 3 fields"), ("a.txt", 4, "x 1 1", "no integer node"), ("b.txt", 4001, "7 8", "expected 3 fields")]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for limit in (size, "5000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+            found = rejected_edges(spark, path)
+            assert sorted((f.rsplit("/", 1)[1], n, line, why) for f, n, line, why in rows(found)) == expected
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_the_strict_error_names_file_and_line(spark, folder):
+    path = folder(fine="1 2 3\n", faulty="1 2 3\n4 5\n")
+    with pytest.raises(Exception, match=r"expected 3 fields in edge line: 4 5 \(.*faulty.txt, from byte 0\)"):
+        read_edges_strict(spark, path).collect()
