@@ -1,7 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from velograph.llm.vectors import near_duplicate_vectors
+from velograph.llm.vectors import _Forest, near_duplicate_vectors
 
 SCHEMA = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT, copies STRING"
 
@@ -44,11 +45,12 @@ def plain(rows):
     return [len(s) for s in links], component
 
 
-@pytest.mark.parametrize("block", [512, 7])
-def test_links_match_all_pairs(spark, block):
+@pytest.mark.parametrize(("block", "pair_block"), [(512, 8192), (7, 5)])
+def test_links_match_all_pairs(spark, block, pair_block):
     rows = vectors()
     data = [(k, e, label, "c") for k, (e, label) in enumerate(rows)]
-    found = near_duplicate_vectors(spark.createDataFrame(data, SCHEMA).repartition(3), window=8, block=block).collect()
+    table = spark.createDataFrame(data, SCHEMA).repartition(3)
+    found = near_duplicate_vectors(table, window=8, block=block, pair_block=pair_block).collect()
     links, component = plain(rows)
     assert len(found) == len(rows)
     for row in found:
@@ -68,6 +70,54 @@ def test_recall_of_the_passes(spark):
     assert linked.sum() > 50 and found >= 0.98 * 2 * linked.sum()
 
 
+def dense_label(background, count, pairs, size=64):
+    """Vectors of one label around one direction, some with a partner at cosine 0.985; and their links."""
+    rng = np.random.default_rng(31)
+    center = np.zeros(size)
+    center[0] = np.sqrt(background)
+    noise = rng.standard_normal((count, size))
+    noise[:, 0] = 0
+    unit = center + np.sqrt(1 - background) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    for k in range(pairs):
+        side = rng.standard_normal(size)
+        side -= side @ unit[2 * k] * unit[2 * k]
+        unit[2 * k + 1] = 0.985 * unit[2 * k] + np.sqrt(1 - 0.985**2) * side / np.linalg.norm(side)
+    unit = unit.astype(np.float32)
+    wide = unit.astype(np.float64)
+    wide /= np.linalg.norm(wide, axis=1, keepdims=True)
+    links = [np.argwhere(np.triu(wide[k : k + 500] @ wide.T >= 0.98, k + 1)) + [k, 0] for k in range(0, count, 500)]
+    return unit, np.concatenate(links)
+
+
+@pytest.mark.parametrize("background", [0, 0.9, 0.95])
+def test_recall_in_one_label_of_many_vectors(spark, background):
+    unit, links = dense_label(background, 30_000, 300)
+    assert len(links) >= 299
+    values = pa.ListArray.from_arrays(pa.array(range(0, unit.size + 1, unit.shape[1]), type=pa.int32()), unit.ravel())
+    table = spark.createDataFrame(pa.table({"vec_id": range(len(unit)), "embedding": values, "label": [1] * len(unit)}))
+    found = {r["vec_id"]: r["component_id"] for r in near_duplicate_vectors(table).where("n_links > 0").collect()}
+    recall = np.mean([u in found and found.get(u) == found.get(v) for u, v in links.tolist()])
+    assert recall >= 0.97
+    assert set(found) <= set(links.ravel().tolist())
+
+
+def test_a_forest_joins_what_the_links_join():
+    rng = np.random.default_rng(3)
+    for count in (1, 2, 9, 40):
+        linked = np.tril(rng.random((count, count)) < 1.2 / count, -1)
+        forest = _Forest(count)
+        forest.add(linked, np.arange(count), np.arange(count))
+        label = np.arange(count)
+        while True:
+            low = np.array([min([label[k], *label[linked[k] | linked[:, k]]]) for k in range(count)])
+            if (low == label).all():
+                break
+            label = low
+        assert len(forest.links) == count - len(set(label.tolist()))
+        assert all(linked[u, v] or linked[v, u] for u, v in forest.links)
+        assert all((forest.roots[u] == forest.roots[v]) == (label[u] == label[v]) for u in range(count) for v in range(count))
+
+
 def test_null_ids_and_empty_tables(spark):
     table = spark.createDataFrame([(None, [1.0, 2.0], 1, ""), (3, [1.0, 2.0], 1, "")], SCHEMA)
     found = {r["vec_id"]: tuple(r)[1:] for r in near_duplicate_vectors(table).collect()}
