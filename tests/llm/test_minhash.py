@@ -107,3 +107,49 @@ def test_components_of_a_star_and_a_path(spark):
     found = {r["id"]: r["component"] for r in connected_components(edges, Workspace(spark)).collect()}
     assert found == {**{k: 0 for k in range(1, 200)}, **{k: 1000 for k in range(1001, 1041)}}
     assert connected_components(edges.limit(0), Workspace(spark)).count() == 0
+
+
+def templated(count, shared=140, own=30):
+    """Documents of one template, at similarity 0.67 from each other."""
+    template = " ".join(f"t{k}" for k in range(shared))
+    return [template + " " + " ".join(f"d{k}x{j}" for j in range(own)) for k in range(count)]
+
+
+def test_documents_of_one_template_make_few_candidates(spark, monkeypatch):
+    seen = []
+    search = minhash._candidates_across
+
+    def counted(*args):
+        pairs, groups = search(*args)
+        seen.append((args[0].count(), groups.selectExpr("coalesce(sum(n * n), 0)").first()[0], pairs.count()))
+        return pairs, groups
+
+    monkeypatch.setattr(minhash, "_candidates_across", counted)
+    for count in (1000, 2000, 4000):
+        docs = spark.createDataFrame(list(enumerate(templated(count))), "doc_id BIGINT, text STRING")
+        assert near_duplicates(docs).where("kept").count() == count
+    members, joined, _ = zip(*seen, strict=True)
+    assert all(m > 0.9 * n for m, n in zip(members, (1000, 2000, 4000), strict=True))
+    assert all(j <= 2 * m for j, m in zip(joined, members, strict=True))
+
+
+@pytest.mark.parametrize("crowd", [(0, 3), (2, 1024), (32, 1024)])
+def test_links_within_a_template_are_found(spark, monkeypatch, crowd):
+    """Some documents of a template are near each other, few of them their bucket's first."""
+    monkeypatch.setattr(minhash, "CROWD", crowd[0])
+    monkeypatch.setattr(minhash, "CROWD_BLOCK", crowd[1])
+    texts = templated(40)
+    texts += [t.replace("d%dx7 " % k, "changed ").replace("t3 ", "t3 t3 ") for k, t in enumerate(texts) if k % 3 == 0]
+    texts += [t + " tail" for t in texts[:10]]
+    components, _ = plain_components(texts)
+    assert 40 <= len(set(components)) < len(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()} == dict(enumerate(components))
+
+
+def test_an_id_with_several_texts_is_compared_with_each(spark):
+    one, two = (" ".join(f"{name}{k}" for k in range(80)) for name in "pq")
+    rows = [(5, one), (5, two), (3, one + " more"), (4, two + " more"), (9, "z y x")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = sorted((r["doc_id"], r["component_id"]) for r in near_duplicates(docs).collect())
+    assert found == [(3, 3), (4, 4), (5, 3), (5, 4), (9, 9)]

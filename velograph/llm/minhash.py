@@ -8,9 +8,12 @@ the sets do in shingles, so that bound drops no pair that is similar enough. Cla
 key are candidates; the sketches drop those that are clearly apart, and the full shingle sets decide
 about the rest.
 
-No bucket is expanded into all its pairs. Each member is first compared with the bucket's smallest
-id, which joins almost every group of copies. Only buckets that still hold members of different
-components are looked at again, and only for pairs across components.
+No bucket is expanded into all its pairs. Each member is first compared with one of the bucket, which
+joins almost every group of copies. Members of buckets that still hold different components are
+looked at again by their rarest shingles: two sets as similar as asked for share one of the few rarest
+of each, so only sets of different components that do are candidates. What many documents of one template
+share is frequent and brings none of them together. A crowd that shares a rare shingle is compared
+block against block, on sketches, and only plausible pairs leave the task.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from functools import reduce
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +52,12 @@ SKETCH_FLOOR = 0.60
 WHOLE_SHINGLES = 1024
 WHOLE_WORDS = 16
 
+# Shingles are counted in so many slots, by which they are ordered from rare to frequent.
+SLOT_BITS = 20
+# Sets with a common rare shingle: up to so many are joined, more are compared in blocks of that size.
+CROWD = 32
+CROWD_BLOCK = 1024
+
 _SAMPLES = BANDS * BAND_SAMPLES
 _LOWER = lower_ascii()
 # Words are runs of anything but ASCII white space.
@@ -137,7 +147,7 @@ def _most_differing_bits(floor: float) -> int:
 
 
 def _signatures(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, two sums that tell sets apart, band keys and sketches (null for empty sets)."""
+    """doc_id, text_key, n_shingles, two sums that tell sets apart, band keys and sketches (null for empty sets)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chain.from_iterable(slices(b, "text") for b in batches):
@@ -162,6 +172,7 @@ def _signatures(documents: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_key"),
                     pa.array(sizes),
                     pa.array(sums[:, 0].view(np.int64)),
                     pa.array(sums[:, 1].view(np.int64)),
@@ -169,13 +180,13 @@ def _signatures(documents: DataFrame, shingle: int) -> DataFrame:
                     pa.array(sketches, type=longs),
                     pa.array(wholes, type=longs),
                 ],
-                names=["doc_id", "n_shingles", "sum1", "sum2", "bands", "sketch", "whole"],
+                names=["doc_id", "text_key", "n_shingles", "sum1", "sum2", "bands", "sketch", "whole"],
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.mapInArrow(
         work,
-        f"doc_id {kind}, n_shingles BIGINT, sum1 BIGINT, sum2 BIGINT, bands ARRAY<BIGINT>, sketch ARRAY<BIGINT>, "
+        f"doc_id {kind}, text_key BIGINT, n_shingles BIGINT, sum1 BIGINT, sum2 BIGINT, bands ARRAY<BIGINT>, sketch ARRAY<BIGINT>, "
         "whole ARRAY<BIGINT>",
     )
 
@@ -218,10 +229,115 @@ def _linked(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
                 [batch.column(c).take(pa.array(kept, type=pa.int64())) for c in ("u", "v")], names=["u", "v"]
             )
 
-    kind = pairs.schema["u"].dataType.simpleString()
-    with_u = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("u_text")), "u")
-    both = with_u.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("v_text")), "v")
-    return both.select("u", "v", "u_text", "v_text").mapInArrow(work, f"u {kind}, v {kind}")
+    with_u = pairs.join(texts.select(F.col("rep").alias("u"), F.col("text").alias("u_text")), "u")
+    both = with_u.join(texts.select(F.col("rep").alias("v"), F.col("text").alias("v_text")), "v")
+    return both.select("u", "v", "u_text", "v_text").mapInArrow(work, "u BIGINT, v BIGINT")
+
+
+def _slot_ranks(texts: DataFrame, shingle: int) -> np.ndarray:
+    """How frequent the shingles of each slot are among ``texts``, as a rough logarithm of one byte.
+
+    One entry per slot comes to the driver and goes out with the tasks, whatever the number of texts.
+    """
+    shift = np.uint64(64 - SLOT_BITS)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chain.from_iterable(slices(b, "text") for b in batches):
+            sets = shingle_sets(texts_of(batch, "text"), shingle)
+            slots, counts = np.unique(np.concatenate(sets) >> shift, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64)), pa.array(counts)], names=["slot", "n"])
+
+    counted = texts.select("text").mapInArrow(work, "slot BIGINT, n BIGINT").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = counted.toArrow()
+    ranks = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+    ranks[found.column("slot").to_numpy()] = np.minimum(8 * np.log2(found.column("n").to_numpy()), 255)
+    return ranks
+
+
+def _rare_shingles(texts: DataFrame, ranks: np.ndarray, shingle: int, percent: int) -> DataFrame:
+    """The rarest shingles of each text, as many as must hold a common one with any similar set: token, rep."""
+    shift = np.uint64(64 - SLOT_BITS)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chain.from_iterable(slices(b, "text") for b in batches):
+            tokens = []
+            for hashes in shingle_sets(texts_of(batch, "text"), shingle):
+                # Sets are in the order of hashes, so a stable sort by rank is one order for all.
+                order = np.argsort(ranks[hashes >> shift], kind="stable")
+                tokens.append(hashes[order[: len(hashes) - -(-percent * len(hashes) // 100) + 1]])
+            reps = np.repeat(batch.column("rep").to_numpy(), [len(t) for t in tokens])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(reps)], names=["token", "rep"]
+            )
+
+    return texts.select("rep", "text").mapInArrow(work, "token BIGINT, rep BIGINT")
+
+
+def _crowd_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """The plausible pairs between the sets of two blocks, across components."""
+    left = rows[rows["side"] == 0]
+    right = left if rows["a"].iloc[0] == rows["b"].iloc[0] else rows[rows["side"] == 1]
+    sizes = [x["n_shingles"].to_numpy(dtype=np.int64) for x in (left, right)]
+    least, most = np.minimum.outer(*sizes), np.maximum.outer(*sizes)
+    fit = (100 * least >= percent * most) & np.not_equal.outer(left["component"].to_numpy(), right["component"].to_numpy())
+    u, v = np.nonzero(fit)
+    for name, words in (("sketch", SKETCH_WORDS), ("whole", WHOLE_WORDS)):
+        empty = np.zeros(words, dtype=np.int64)
+        known = [x[name].notna().to_numpy() for x in (left, right)]
+        bits = [np.array([empty if w is None else w for w in x[name]], dtype=np.int64).view(np.uint64) for x in (left, right)]
+        kept = []
+        for at in range(0, len(u), 1 << 16):
+            a, b = u[at : at + (1 << 16)], v[at : at + (1 << 16)]
+            differing = np.bitwise_count(bits[0][a] ^ bits[1][b]).sum(axis=1, dtype=np.int64)
+            if name == "sketch":
+                near = differing <= _most_differing_bits(SKETCH_FLOOR)
+            else:
+                near = differing * (100 + percent) <= (sizes[0][a] + sizes[1][b]) * (100 - percent)
+            kept.append(near | ~(known[0][a] & known[1][b]))
+        chosen = np.concatenate(kept) if kept else np.empty(0, dtype=bool)
+        u, v = u[chosen], v[chosen]
+    u, v = left["rep"].to_numpy()[u], right["rep"].to_numpy()[v]
+    return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
+
+
+def _candidates_across(
+    divided: DataFrame, texts: DataFrame, classes: DataFrame, shingle: int, percent: int, work: Workspace
+) -> tuple[DataFrame, DataFrame]:
+    """Plausible pairs (u, v) of different components among ``divided`` (rep, component).
+
+    Also the groups of sets that share a rare shingle, as token, n: joined rows are at most n * n of
+    each group of no more than ``CROWD``.
+    """
+    own = work.keep(texts.join(divided.select("rep"), "rep", "left_semi"))
+    ranks = _slot_ranks(own, shingle)
+    shared = work.keep(_rare_shingles(own, ranks, shingle, percent).join(divided, "rep"))
+    groups = work.keep(
+        shared.groupBy("token")
+        .agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least <> most")
+        .select("token", "n")
+    )
+    met = shared.join(groups, "token").join(classes.select("rep", "n_shingles"), "rep")
+    few = met.where(F.col("n") <= CROWD)
+    sides = [few.select("token", *(F.col(c).alias(f"{x}_{c}") for c in ("rep", "component", "n_shingles"))) for x in "uv"]
+    size = F.least("u_n_shingles", "v_n_shingles") * 100 >= F.greatest("u_n_shingles", "v_n_shingles") * percent
+    joined_pairs = sides[0].join(sides[1], "token").where("u_rep < v_rep AND u_component <> v_component").where(size)
+    joined_pairs = joined_pairs.select(F.col("u_rep").alias("u"), F.col("v_rep").alias("v")).distinct()
+    plausible = joined_pairs.join(_side(classes, "u"), "u").join(_side(classes, "v"), "v").where(_plausible(percent))
+
+    crowd = met.where(F.col("n") > CROWD).withColumn("blocks", F.ceil(F.col("n") / CROWD_BLOCK))
+    crowd = crowd.drop("n_shingles").join(classes.select("rep", "n_shingles", "sketch", "whole"), "rep")
+    crowd = crowd.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("theirs")
+    dealt = crowd.select("token", "rep", "component", "n_shingles", "sketch", "whole", "mine", each)
+    dealt = dealt.withColumn("side", F.when(F.col("mine") <= F.col("theirs"), 0).otherwise(1))
+    dealt = dealt.withColumn("a", F.least("mine", "theirs")).withColumn("b", F.greatest("mine", "theirs"))
+    in_crowds = dealt.drop("mine", "theirs").groupBy("token", "a", "b").applyInPandas(
+        lambda rows: _crowd_pairs(rows, percent), "u BIGINT, v BIGINT"
+    )
+    pairs = work.keep(plausible.select("u", "v").unionByName(in_crowds).distinct())
+    work.drop(own, shared)
+    return pairs, groups
 
 
 def near_duplicates(
@@ -236,20 +352,24 @@ def near_duplicates(
     """One row per document: doc_id, n_shingles, component_id (least id reachable by links), kept.
 
     A null or empty text, or one without words, has no shingles and is linked with nothing. Rows that
-    repeat an id and its text give equal rows; an id is expected to have one text, and of several only
-    the least is compared in full. A row without id is linked with nothing and has no component.
-    Other columns are not read. Without rows there are none.
+    repeat an id are compared each with its own text, and rows that repeat both give equal rows. A row
+    without id is linked with nothing and has no component. A text of any length is one row and is
+    hashed whole. Other columns are not read. Without rows there are none.
 
     The result is a written table of ``work``, whose caller may drop it; all others go before the end.
     """
     work = work or Workspace(documents.sparkSession)
-    source = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    source = documents.select(
+        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key")
+    )
     signed = work.keep(_signatures(source, shingle_words))
     same_set = ["n_shingles", "sum1", "sum2"]
+    # A class is known by a number of its own, and by one row of it: its least id, with that row's text.
     classes = work.keep(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy(*same_set)
-        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("bands", "sketch", "whole")))
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("one"), *(F.first(c).alias(c) for c in ("bands", "sketch", "whole")))
+        .withColumn("rep", F.monotonically_increasing_id())
     )
     members = classes.select("rep", F.explode("bands").alias("key"))
     buckets = work.keep(
@@ -259,49 +379,32 @@ def near_duplicates(
     starred = crowded.where("rep <> center").select(F.col("rep").alias("u"), F.col("center").alias("v")).distinct()
     starred = starred.join(_side(classes, "u"), "u").join(_side(classes, "v"), "v").where(_plausible(percent))
     candidates = work.keep(starred.select("u", "v"))
-    involved = crowded.select(F.col("rep").alias("doc_id")).distinct()
-    texts = work.keep(source.join(involved, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")))
+    involved = classes.select("rep", "one.*").join(crowded.select("rep").distinct(), "rep")
+    texts = source.join(involved, ["doc_id", "text_key"]).groupBy("rep").agg(F.first("text").alias("text"))
+    texts = work.keep(texts)
     links = work.keep(_linked(candidates, texts, shingle_words, percent))
-
     work.drop(candidates)
     stars = connected_components(links, work)
     work.drop(links)
+
     grouped = crowded.join(stars, crowded["rep"] == stars["id"], "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component")
     )
-    # In a bucket of several components, all but the one of its smallest id meet every other member.
-    mixed = work.keep(
-        grouped.groupBy("key")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least <> most")
-    )
-    divided = work.keep(grouped.join(mixed, "key").select("key", "rep", "component", "least"))
-    apart = (
-        divided.where("component <> least")
-        .select("key", F.col("rep").alias("u"), F.col("component").alias("u_component"))
-        .join(_side(classes, "u"), "u")
-    )
-    others = divided.select("key", F.col("rep").alias("v"), F.col("component").alias("v_component"), "least").join(
-        _side(classes, "v"), "v"
-    )
-    across = (
-        apart.join(others, "key")
-        # Two components other than the first meet twice; once is enough.
-        .where("u_component <> v_component AND (v_component = least OR u < v)")
-        .where(_plausible(percent))
-        .select("u", "v")
-        .distinct()
-    )
-    across = work.keep(across)
+    mixed = grouped.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    mixed = work.keep(mixed.where("least <> most"))
+    divided = work.keep(grouped.join(mixed, "key", "left_semi").select("rep", "component").distinct())
+    across, groups = _candidates_across(divided, texts, classes, shingle_words, percent, work)
     more = work.keep(_linked(across, texts, shingle_words, percent))
-    work.drop(crowded, buckets, mixed, divided, across, texts)
+    work.drop(crowded, buckets, mixed, divided, across, groups, texts)
     final = connected_components(stars.select(F.col("id").alias("u"), F.col("component").alias("v")).union(more), work)
+    work.drop(stars, more)
 
     placed = classes.join(final, classes["rep"] == final["id"], "left").select(
-        *same_set, F.coalesce("component", "rep").alias("component_id")
+        *same_set, F.coalesce("component", "rep").alias("component"), F.col("one.doc_id").alias("least")
     )
-    placed = work.keep(placed)
-    work.drop(stars, more, final, classes)
+    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    placed = work.keep(placed.join(least, "component").select(*same_set, "component_id"))
+    work.drop(final, classes)
     found = signed.select("doc_id", *same_set).join(placed, same_set, "left")
     found = found.withColumn("component_id", F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component_id, doc_id) END"))
     kept = F.expr("doc_id <=> component_id").alias("kept")
