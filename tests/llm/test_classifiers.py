@@ -60,3 +60,24 @@ def test_thresholds():
     assert best_threshold(logits, ones, clean=0) == -0.5
     assert best_threshold(logits, np.ones(4, dtype=int), clean=0) == 0.0
     assert shifted(np.array([1.9, 2.0, 2.1]), 2.0, 0.7).round(3).tolist() == [0.679, 0.7, 0.721]
+
+
+def plain_hash(values):
+    return mix(np.array(values, dtype=np.uint64))
+
+
+def test_quality_scores_are_a_plain_forward_pass():
+    """The weights of a text's buckets, one feature at a time, averaged."""
+    rng = np.random.default_rng(1)
+    model = quality.SubwordModel(rng.standard_normal(1 << quality.BUCKET_BITS).astype(np.float32), 0.3, 0.1)
+    texts = [b"Some words, some WORDS", b"", b"x", "é 漢字 text".encode(), b"word " * 300]
+    with np.errstate(over="ignore"):
+        for text, logit in zip(texts, model.logits(texts), strict=True):
+            buckets, owner = quality.features([text])
+            total = sum(float(model.weights[b]) for b in buckets)
+            assert (owner == 0).all()
+            assert logit == pytest.approx(total / max(len(buckets), 1) + model.bias)
+    # Together or alone, a text has the same features.
+    alone = [sorted(quality.features([t])[0].tolist()) for t in texts]
+    buckets, owner = quality.features(texts)
+    assert [sorted(buckets[owner == k].tolist()) for k in range(len(texts))] == alone

@@ -42,3 +42,26 @@ def test_groups_are_found_through_either_text_of_an_id(spark):
 
 def test_rows_without_words_stay(spark):
     assert stay(spark, [(1, ""), (1, ""), (None, None), (None, None)]) == [(1, ""), (1, ""), (None, None), (None, None)]
+
+
+def small_documents(spark):
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(40 + k)), "en", "s", 1, f"own{k}", k) for k in range(4)]
+    rows.append((9, "very long " + " ".join(f"v{j}" for j in range(120_000)), "en", "s", 1, "own9", 9))
+    return spark.createDataFrame(rows, f"{SCHEMA}, _mark STRING, component_id BIGINT")
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    docs = small_documents(spark)
+    before = {r["doc_id"]: tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, "/root/testdata/sf0.001")
+        assert found.columns == docs.columns, name
+        rows = {r["doc_id"]: tuple(r) for r in found.collect()}
+        assert all(rows[k][5:] == before[k][5:] and rows[k][1] == before[k][1] for k in rows), name
+        assert len(rows) == 5 or name == "quality classifier"
+
+
+def test_stages_without_documents(spark):
+    docs = small_documents(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
