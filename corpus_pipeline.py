@@ -17,15 +17,20 @@ from velograph.llm.suffixes import remove_repeats
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Columns that stages add meanwhile; documents have none of this name.
-_MARK = "_pipeline_mark"
+
+def _mark(docs: DataFrame) -> str:
+    """A name for a column that a stage adds meanwhile, other than those of the documents."""
+    name = "_mark"
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, learned from the labels, does not reject."""
-    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, result=_MARK)
-    return scored.where(F.col(_MARK) >= quality.CUT).select(*docs.columns)
+    mark, model = _mark(docs), quality.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, result=mark)
+    return scored.where(F.col(mark) >= quality.CUT).select(*docs.columns)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,27 +39,29 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     Ids may be missing or repeat, so rows get a key of their own. Of rows with the least id that of the
     least text hash stays, of equal ones the first. A row without words is in no group and stays.
     """
-    work = Workspace(spark)
-    rows = work.keep(docs.withColumn(_MARK, F.monotonically_increasing_id()))
-    found = near_duplicates(rows.select(_MARK, "text"), doc_id=_MARK).select(F.col("doc_id").alias(_MARK), "component_id")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text"), _MARK)
-    first = found.join(rows.select(_MARK, place.alias("place")), _MARK).groupBy("component_id").agg(F.min("place").alias("place"))
-    kept = work.keep(first.select(F.col("place")[_MARK].alias(_MARK)))
-    return rows.join(kept, _MARK, "left_semi").select(*docs.columns)
+    work, mark = Workspace(spark), _mark(docs)
+    rows = work.keep(docs.withColumn(mark, F.monotonically_increasing_id()))
+    found = near_duplicates(rows.select(mark, "text"), doc_id=mark).select(F.col("doc_id").alias(mark), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text"), mark)
+    first = found.join(rows.select(mark, place.alias("place")), mark).groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = work.keep(first.select(F.col("place")[mark].alias(mark)))
+    return rows.join(kept, mark, "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the byte strings that occur elsewhere; n_chars follows the new text."""
-    found = remove_repeats(docs, result=_MARK)
-    text = F.col(f"{_MARK}.kept_text")
+    mark = _mark(docs)
+    found = remove_repeats(docs, result=mark)
+    text = F.col(f"{mark}.kept_text")
     changed = {"text": text, "n_chars": F.length(text).cast("bigint")}
     return found.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows cover less than a twentieth."""
-    found = find_benchmark_text(docs, read_table(spark, sf_dir, "benchmark"), result=_MARK)
-    return contamination_columns(found.select(F.struct(*docs.columns).alias("row"), _MARK), _MARK).where(
+    mark = _mark(docs)
+    found = find_benchmark_text(docs, read_table(spark, sf_dir, "benchmark"), result=mark)
+    return contamination_columns(found.select(F.struct(*docs.columns).alias("row"), mark), mark).where(
         "NOT contaminated"
     ).select("row.*")
 
