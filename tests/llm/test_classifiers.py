@@ -62,10 +62,6 @@ def test_thresholds():
     assert shifted(np.array([1.9, 2.0, 2.1]), 2.0, 0.7).round(3).tolist() == [0.679, 0.7, 0.721]
 
 
-def plain_hash(values):
-    return mix(np.array(values, dtype=np.uint64))
-
-
 def test_quality_scores_are_a_plain_forward_pass():
     """The weights of a text's buckets, one feature at a time, averaged."""
     rng = np.random.default_rng(1)
@@ -81,3 +77,39 @@ def test_quality_scores_are_a_plain_forward_pass():
     alone = [sorted(quality.features([t])[0].tolist()) for t in texts]
     buckets, owner = quality.features(texts)
     assert [sorted(buckets[owner == k].tolist()) for k in range(len(texts))] == alone
+
+
+def test_toxicity_scores_are_a_plain_forward_pass():
+    """Every window of every width, one word at a time, then the largest response of each filter."""
+    rng = np.random.default_rng(2)
+    texts = [b"one two three four five", b"", b"none of these", b"two", b"five " * 30 + b"three one", b"two none none none two"]
+    with np.errstate(over="ignore"):
+        known, _ = toxicity.word_keys([b"one two three four five"])
+    buckets = np.unique(known[known >= 0])
+    shape = [(len(buckets) + 1, w, toxicity.FILTERS) for w in toxicity.WIDTHS]
+    taps = [rng.standard_normal(s).astype(np.float32) for s in shape]
+    for tap in taps:
+        tap[-1] = 0
+    model = toxicity.ConvolutionModel(
+        buckets, taps, [rng.standard_normal(toxicity.FILTERS).astype(np.float32) for _ in taps],
+        rng.standard_normal(len(taps) * toxicity.FILTERS).astype(np.float32), 0.2,
+        np.zeros((len(buckets) + 1, 1), dtype=np.float32), np.zeros(1),
+    )
+    row_of = {int(b): k for k, b in enumerate(buckets)}
+    logits, _ = model.judge(texts)
+    for text, logit in zip(texts, logits, strict=True):
+        with np.errstate(over="ignore"):
+            keys, _ = toxicity.word_keys([text])
+        rows = [[row_of.get(int(b), len(buckets)) for b in word] for word in keys]
+        pooled = []
+        for w, width in enumerate(toxicity.WIDTHS):
+            best = []
+            for s in range(len(rows)):
+                words = rows[s : s + width]
+                if any(r != len(buckets) for word in words for r in word):
+                    best.append(sum(taps[w][r, k] for k, word in enumerate(words) for r in word) + model.filter_bias[w])
+            if rows:
+                pooled.append(np.max(best, axis=0) if best else model.filter_bias[w])
+            else:
+                pooled.append(np.zeros(toxicity.FILTERS))
+        assert logit == pytest.approx(float(np.maximum(np.concatenate(pooled), 0) @ model.output) + model.bias, abs=1e-4)
