@@ -57,6 +57,8 @@ SLOT_BITS = 20
 # Sets with a common rare shingle: up to so many are joined, more are compared in blocks of that size.
 CROWD = 32
 CROWD_BLOCK = 1024
+# Of a set's rare shingles that crowds share, the first ones by number: they tell where a pair met before.
+FIRST_TOKENS = 16
 
 _SAMPLES = BANDS * BAND_SAMPLES
 _LOWER = lower_ascii()
@@ -273,6 +275,14 @@ def _rare_shingles(texts: DataFrame, ranks: np.ndarray, shingle: int, percent: i
     return texts.select("rep", "text").mapInArrow(work, "token BIGINT, rep BIGINT")
 
 
+def _first_tokens(lists: pd.Series, token: int) -> np.ndarray:
+    """The lists as rows of one width; what is missing is filled up with ``token``."""
+    out = np.full((len(lists), FIRST_TOKENS), token, dtype=np.int64)
+    for k, own in enumerate(lists):
+        out[k, : len(own)] = own
+    return out
+
+
 def _crowd_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """The plausible pairs between the sets of two blocks, across components."""
     left = rows[rows["side"] == 0]
@@ -296,7 +306,14 @@ def _crowd_pairs(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
             kept.append(near | ~(known[0][a] & known[1][b]))
         chosen = np.concatenate(kept) if kept else np.empty(0, dtype=bool)
         u, v = u[chosen], v[chosen]
-    u, v = left["rep"].to_numpy()[u], right["rep"].to_numpy()[v]
+    # A pair that shares an earlier token is found there as well: it is left to that crowd.
+    token = rows["token"].iloc[0]
+    earlier = [_first_tokens(x["first"], token) for x in (left, right)]
+    again = np.zeros(len(u), dtype=bool)
+    for at in range(0, len(u), 1 << 12):
+        a, b = (e[k[at : at + (1 << 12)]] for e, k in zip(earlier, (u, v), strict=True))
+        again[at : at + (1 << 12)] = ((a[:, :, None] == b[:, None, :]) & (a < token)[:, :, None]).any(axis=(1, 2))
+    u, v = left["rep"].to_numpy()[u[~again]], right["rep"].to_numpy()[v[~again]]
     return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
 
 
@@ -308,7 +325,8 @@ def _candidates_across(
     Also the groups of sets that share a rare shingle, as token, n: joined rows are at most n * n of
     each group of no more than ``CROWD``.
     """
-    own = work.keep(texts.join(divided.select("rep"), "rep", "left_semi"))
+    # Read twice rather than written: the texts are large, the table of members is not.
+    own = texts.join(divided.select("rep"), "rep", "left_semi")
     ranks = _slot_ranks(own, shingle)
     shared = work.keep(_rare_shingles(own, ranks, shingle, percent).join(divided, "rep"))
     groups = work.keep(
@@ -325,18 +343,21 @@ def _candidates_across(
     joined_pairs = joined_pairs.select(F.col("u_rep").alias("u"), F.col("v_rep").alias("v")).distinct()
     plausible = joined_pairs.join(_side(classes, "u"), "u").join(_side(classes, "v"), "v").where(_plausible(percent))
 
-    crowd = met.where(F.col("n") > CROWD).withColumn("blocks", F.ceil(F.col("n") / CROWD_BLOCK))
-    crowd = crowd.drop("n_shingles").join(classes.select("rep", "n_shingles", "sketch", "whole"), "rep")
+    first = F.slice(F.array_sort(F.collect_list("token")), 1, FIRST_TOKENS).alias("first")
+    in_crowd = met.where(F.col("n") > CROWD).drop("n_shingles")
+    facts = met.join(in_crowd.select("rep").distinct(), "rep", "left_semi").groupBy("rep").agg(first)
+    facts = facts.join(classes.select("rep", "n_shingles", "sketch", "whole"), "rep")
+    crowd = in_crowd.withColumn("blocks", F.ceil(F.col("n") / CROWD_BLOCK)).join(facts, "rep")
     crowd = crowd.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("theirs")
-    dealt = crowd.select("token", "rep", "component", "n_shingles", "sketch", "whole", "mine", each)
+    dealt = crowd.select("token", "rep", "component", "n_shingles", "sketch", "whole", "first", "mine", each)
     dealt = dealt.withColumn("side", F.when(F.col("mine") <= F.col("theirs"), 0).otherwise(1))
     dealt = dealt.withColumn("a", F.least("mine", "theirs")).withColumn("b", F.greatest("mine", "theirs"))
     in_crowds = dealt.drop("mine", "theirs").groupBy("token", "a", "b").applyInPandas(
         lambda rows: _crowd_pairs(rows, percent), "u BIGINT, v BIGINT"
     )
     pairs = work.keep(plausible.select("u", "v").unionByName(in_crowds).distinct())
-    work.drop(own, shared)
+    work.drop(shared)
     return pairs, groups
 
 
