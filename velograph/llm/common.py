@@ -15,6 +15,9 @@ from velograph.layout.lineage import ensure_checkpoint_dir
 # Text bytes that one step of a Python worker looks at together; one longer text goes alone.
 SLICE_BYTES = 2 << 20
 
+# Fixed value: monotonically_increasing_id counts the rows of a partition in so many lower bits.
+_ROW_BITS = 33
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,6 +80,43 @@ def file_system(folder: str):
         raise ValueError(f"files cannot be written under spark.checkpoint.dir: pyarrow does not open {scheme!r}") from error
 
 
+def without_rows(rows: DataFrame, unwanted: DataFrame, key: str, work: Workspace) -> DataFrame:
+    """The written table ``rows`` without those whose ``key`` is in ``unwanted``, which holds no key twice.
+
+    ``key`` holds numbers by ``monotonically_increasing_id``, given when ``rows`` was written, so that its upper
+    bits tell the partition. Unwanted keys are written by partition; a task reads those of the partitions
+    that it meets, one at a time. So only keys are shuffled, no other column of ``rows``, and nothing is broadcast. A
+    partition's keys are fewer than its rows, which one task wrote. No unwanted keys leave all rows.
+    """
+    path, part = f"{work.folder}/{uuid4().hex}", F.shiftright(key, _ROW_BITS)
+    by_part = unwanted.select(F.col(key).alias("key"), part.alias("part")).repartition("part")
+    by_part.write.partitionBy("part").option("compression", "zstd").parquet(path)
+    file_system(path)
+    at = rows.columns.index(key)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        from pyarrow import parquet as pq
+
+        system, folder = file_system(path)
+        known, gone = None, np.empty(0, dtype=np.int64)
+        for batch in batches:
+            keys = batch.column(at).to_numpy()
+            parts = keys >> _ROW_BITS
+            stays = np.ones(len(keys), dtype=bool)
+            for one in np.unique(parts).tolist():
+                if one != known:
+                    found = system.get_file_info(fs.FileSelector(f"{folder}/part={one}", allow_not_found=True))
+                    files = [f.path for f in found if f.base_name.endswith(".parquet")]
+                    read = [pq.ParquetFile(f, filesystem=system).read(["key"]).column("key").to_numpy() for f in files]
+                    known, gone = one, np.concatenate([np.empty(0, dtype=np.int64), *read])
+                mine = parts == one
+                stays[mine] = ~np.isin(keys[mine], gone)
+            yield batch.filter(pa.array(stays))
+
+    return rows.mapInArrow(task, rows.schema)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has at most ``limit`` bytes of ``column``, or one row."""
     sizes = batch.column(column).nbytes
