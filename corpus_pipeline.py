@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velograph.llm import quality
-from velograph.llm.common import Workspace, read_table
+from velograph.llm.common import Workspace, read_table, without_rows
 from velograph.llm.decontamination import contamination_columns, find_benchmark_text
 from velograph.llm.minhash import near_duplicates
 from velograph.llm.packing import pack_documents
@@ -44,8 +44,8 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     found = near_duplicates(rows.select(mark, "text"), doc_id=mark).select(F.col("doc_id").alias(mark), "component_id")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text"), mark)
     first = found.join(rows.select(mark, place.alias("place")), mark).groupBy("component_id").agg(F.min("place").alias("place"))
-    kept = work.keep(first.select(F.col("place")[mark].alias(mark)))
-    return rows.join(kept, mark, "left_semi").select(*docs.columns)
+    others = found.select(mark).join(first.select(F.col("place")[mark].alias(mark)), mark, "left_anti")
+    return without_rows(rows, others, mark, work).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
