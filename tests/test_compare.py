@@ -142,3 +142,41 @@ def test_runs_cut_at_any_position(make, rows, monkeypatch, stretch):
     assert rows(op.diff_by_position(make(left), make(right), ["k"], ["v"])) == [(10, 8, differing, False)]
     assert rows(op.diff_by_position(make([]), make(right), ["k"], ["v"])) == [(0, 8, 8, False)]
     assert rows(op.diff_by_position(make([]), make([]), ["k"], ["v"])) == [(0, 0, 0, True)]
+
+
+@pytest.mark.parametrize("compare", ["diff_by_position"])
+def test_rows_of_a_task_do_not_follow_the_size_of_the_sides(spark, rows, monkeypatch, compare):
+    """Partitions are put together up to a fixed size only, not to one per core, and settings are put back."""
+    from velograph.layout import tasks
+    from velograph.operators import compare as module
+
+    parts, verdict = [], module._verdict
+    monkeypatch.setattr(tasks, "SHUFFLED_BYTES", 1 << 14)
+    monkeypatch.setattr(module, "_verdict", lambda df, *sums: parts.append(df.rdd.getNumPartitions()) or verdict(df, *sums))
+    monkeypatch.setattr(module, "_STRETCH", 1 << 10)
+    left = spark.range(300_000).selectExpr("CAST(id AS INT) AS k", "hash(id) AS v")
+    asked = () if compare == "diff_as_multiset" else (["k"], ["k", "v"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    before = spark.conf.getAll
+    try:
+        assert rows(getattr(op, compare)(left, left.filter("k <> 299999"), *asked)) == [(300_000, 299_999, 1, False)]
+        assert parts[0] > 8 and spark.conf.getAll == before
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+
+
+def test_numbers_are_compared_as_numbers(spark, rows, monkeypatch):
+    """Only texts, and numbers that the other side has as another type, are kept as texts; ties go by text."""
+    from velograph.layout import positions
+
+    kept, write = [], positions.written
+    monkeypatch.setattr(positions, "written", lambda df: kept.append(write(df)) or kept[-1])
+    left = spark.createDataFrame([(1, 9, "a b"), (1, 10, "c"), (None, None, None)], "k BIGINT, n INT, v STRING")
+    right = spark.createDataFrame([(1, 10, "c"), (1, 9, " ab"), (None, None, None)], "k BIGINT, n INT, v STRING")
+    assert rows(op.diff_by_position(left, right, ["k"], ["k", "n", "v"])) == [(3, 3, 0, True)]
+    assert [t for _, t in kept[0].dtypes] == ["bigint", "int", "string", "bigint", "bigint", "int"]
+    by_text = kept[0].filter("_order0 = 1").orderBy("_before")
+    assert [r[1] for r in by_text.collect()] == [10, 9]
+    wide = right.withColumn("n", F.col("n").cast("bigint"))
+    assert rows(op.diff_by_position(left, wide, ["k"], ["k", "n", "v"])) == [(3, 3, 0, True)]
+    assert kept[2].dtypes[1][1] == "string"

@@ -3,6 +3,7 @@
 from velograph.layout.lineage import cut_lineage, written
 from velograph.layout.positions import ROW_ID, number_rows, number_runs, with_row_ids
 from velograph.layout.skew import ROWS_PER_TASK, HeavyKeys, SlicedRows, heavy_keys, sliced_table
+from velograph.layout.tasks import small_tasks
 
 __all__ = [
     "HeavyKeys",
@@ -14,6 +15,7 @@ __all__ = [
     "number_rows",
     "number_runs",
     "sliced_table",
+    "small_tasks",
     "with_row_ids",
     "written",
 ]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velograph.layout.lineage import cut_lineage, written
 
@@ -52,16 +56,30 @@ def number_rows(df: DataFrame, order_by: Sequence[str], keep: Sequence[str]) ->
     )
 
 
-def number_runs(df: DataFrame, order_by: Sequence[str], keep: Sequence[str]) -> DataFrame:
+def number_runs(
+    df: DataFrame, order_by: Sequence[str], keep: Sequence[str], ties: Sequence[Column] | None = None
+) -> DataFrame:
     """Equal rows as one: the columns ``keep``, ``copies``, and ``first``, the position of the first copy.
 
-    Positions count from 0 in the order of ``order_by``, then of ``keep``. Equal rows are combined before
-    the shuffle, so any number of copies is one row from then on. The runs are range-sorted over all
-    tasks and written once; sums within each partition and one offset per partition give the positions.
+    Positions count from 0 in the order of ``order_by``, then of ``ties``, which are ``keep`` unless given.
+    Equal rows are combined before the shuffle, so any number of copies is one row from then on. The runs
+    are range-sorted over all tasks and written once, each with the copies before it in its partition, which
+    are summed up in passing; one offset per partition gives the positions.
     """
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            copies = batch.column("copies").to_numpy()
+            upto = before + np.cumsum(copies)
+            added = [pa.array(upto - copies), pa.array(np.full(len(copies), part, "int32"))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "_before", "_part"])
+            before = int(upto[-1]) if len(copies) else before
+
     keys = list(dict.fromkeys([*order_by, *keep]))
     runs = df.groupBy(*keys).agg(F.count("*").alias("copies"))
-    placed = written(runs.orderBy(*keys).withColumn("_part", F.spark_partition_id()))
+    schema = T.StructType([*runs.schema.fields, T.StructField("_before", T.LongType()), T.StructField("_part", T.IntegerType())])
+    placed = written(runs.orderBy(*order_by, *(keep if ties is None else ties)).mapInArrow(summed, schema))
     # One row per partition: small whatever the data, hence the unpartitioned window and broadcast.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -69,8 +87,6 @@ def number_runs(df: DataFrame, order_by: Sequence[str], keep: Sequence[str]) ->
         .agg(F.sum("copies").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     )
-    before = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    counted = placed.withColumn("_before", F.coalesce(F.sum("copies").over(before), F.lit(0)))
-    return counted.join(F.broadcast(offsets), "_part").select(
+    return placed.join(F.broadcast(offsets), "_part").select(
         *keep, "copies", (F.col("_offset") + F.col("_before")).alias("first")
     )

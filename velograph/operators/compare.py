@@ -9,13 +9,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velograph.functions import squeeze
-from velograph.layout import number_runs
+from velograph.layout import number_runs, small_tasks
 from velograph.sources.listings import LINE_ORDER
 
-# Positions that one task compares.
-_STRETCH = 1 << 18
+# Positions that are compared in one go.
+_STRETCH = 1 << 16
+# Types whose values are equal exactly when their texts are, and whose texts have no white space.
+_PLAIN = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DateType)
 
 
 def diff_listings(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -37,17 +40,34 @@ def diff_by_position(
     Equal rows are one run with a number of copies, and each side is written once, as its runs. Runs are
     cut at fixed positions, and the two sides of each stretch of positions meet in one task, which steps
     from one run's start to the next: a run of many copies is compared as a whole.
+
+    Values of a type that both sides share stay as they are where their texts say no more. The comparison
+    runs at once, in tasks whose size does not follow that of the sides.
     """
-    values = F.struct(_values(columns).alias("shown"))
+    with small_tasks(expected.sparkSession):
+        return _counted(_by_position(expected, actual, order_by, columns))
+
+
+def _by_position(
+    expected: DataFrame, actual: DataFrame, order_by: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    left, right = expected.select(*columns).schema, actual.select(*columns).schema
+    plain = {c for c, x, y in zip(columns, left, right, strict=True) if x.dataType == y.dataType and isinstance(x.dataType, _PLAIN)}
+    # The columns under names of their own; a plain value that is ordered by is kept once.
+    order = {c: f"_order{i}" for i, c in enumerate(order_by)}
+    shown = {c: order[c] if c in plain and c in order else f"_shown{i}" for i, c in enumerate(columns)}
+    ties = [F.col(name).cast("string") for name in shown.values() if name not in order.values()]
 
     def cut(df: DataFrame, side: int) -> DataFrame:
-        runs = number_runs(df.select(*order_by, values.alias("values")), order_by, ["values"])
+        values = [(F.col(c) if c in plain else _value(c)).alias(name) for c, name in shown.items() if name not in order.values()]
+        rows = df.select(*[F.col(c).alias(name) for c, name in order.items()], *values)
+        runs = number_runs(rows, list(order.values()), list(shown.values()), ties)
         last = F.col("first") + F.col("copies") - 1
         blocks = F.sequence(F.expr(f"first div {_STRETCH}"), F.floor(last / _STRETCH).cast("bigint"))
         start = F.greatest("first", F.col("block") * _STRETCH)
         end = F.least(last + 1, (F.col("block") + 1) * _STRETCH)
         return runs.withColumn("block", F.explode(blocks)).select(
-            "block", start.alias("start"), end.alias("end"), "values", F.lit(side).alias("side")
+            "block", start.alias("start"), end.alias("end"), F.struct(*shown.values()).alias("values"), F.lit(side).alias("side")
         )
 
     met = cut(expected, 0).unionByName(cut(actual, 1))
@@ -126,9 +146,14 @@ def _check_same_columns(expected: DataFrame, actual: DataFrame) -> None:
         raise ValueError(f"the columns differ: {left} and {right}")
 
 
-def _values(columns: Sequence[str]) -> Column:
-    """The compared values of a row as text, without white space."""
-    return F.array(*[squeeze(F.col(c).cast("string")) for c in columns])
+def _value(column: str) -> Column:
+    """A compared value as text, without white space."""
+    return squeeze(F.col(column).cast("string"))
+
+
+def _counted(verdict: DataFrame) -> DataFrame:
+    """The one row of counts, made now."""
+    return verdict.sparkSession.createDataFrame([tuple(verdict.first())], verdict.schema)
 
 
 def _summary(pairs: DataFrame) -> DataFrame:
