@@ -144,7 +144,7 @@ def test_runs_cut_at_any_position(make, rows, monkeypatch, stretch):
     assert rows(op.diff_by_position(make([]), make([]), ["k"], ["v"])) == [(0, 0, 0, True)]
 
 
-@pytest.mark.parametrize("compare", ["diff_by_position"])
+@pytest.mark.parametrize("compare", ["diff_as_multiset", "diff_by_position"])
 def test_rows_of_a_task_do_not_follow_the_size_of_the_sides(spark, rows, monkeypatch, compare):
     """Partitions are put together up to a fixed size only, not to one per core, and settings are put back."""
     from velograph.layout import tasks

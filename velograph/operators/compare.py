@@ -121,9 +121,14 @@ def diff_as_multiset(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
     ``differing_rows`` counts the rows that ``exceptAll`` would leave in either direction. Equal
     rows are combined before the shuffle, however many there are. Both sides must have the same
-    columns and types.
+    columns and types. The comparison runs at once, in tasks whose size does not follow that of the sides.
     """
     _check_same_columns(expected, actual)
+    with small_tasks(expected.sparkSession):
+        return _counted(_as_multiset(expected, actual))
+
+
+def _as_multiset(expected: DataFrame, actual: DataFrame) -> DataFrame:
     columns = expected.columns
     signed = expected.withColumn("_copies", F.lit(1)).unionByName(
         actual.select(*columns).withColumn("_copies", F.lit(-1))
