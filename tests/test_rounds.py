@@ -102,3 +102,20 @@ def test_the_tree_has_the_paths_of_the_listing(make_edges, rows):
         path = {n: p for n, _, p in listed}[node].split("-")
         assert (hops is None) == (cost < 0) and (cost < 0 or len(path) == hops + 1)
         assert previous == (int(path[-2]) if cost >= 0 and hops else None)
+
+
+def test_pairs_are_made_once_without_a_cache(spark, make_edges, rows, tmp_path, monkeypatch):
+    """The pairs of nodes are neither cached nor made again for the counts, and their files go."""
+    from velograph.layout import lineage
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.persist", None)
+    paths_written, write = [], lineage._written
+    monkeypatch.setattr(lineage, "_written", lambda df: paths_written.append(write(df)) or paths_written[-1])
+    made = spark.sparkContext.accumulator(0)
+    data = random_edges(40, 160, 3, hub_share=0.3)
+    edges = spark.createDataFrame(spark.sparkContext.parallelize(data, 2).map(lambda r: made.add(1) or r), "source INT, target INT, weight INT")
+    got = rows(op.shortest_path_tree(edges, 0, rows_per_task=8))
+    assert {n: c for n, c, _, _ in got} == {n: c for n, c, _ in paths_by_hand(data, 0, {s for s, _, _ in data})}
+    assert made.value == len(data)
+    path = paths_written[0][1]
+    assert len(paths_written) == 1 and not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

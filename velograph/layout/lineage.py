@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import Any
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +40,25 @@ def written(df: DataFrame) -> DataFrame:
     Like a checkpoint it survives the loss of any executor, but readers take only the columns they
     need. The files go when the session's JVM ends.
     """
+    return _written(df)[0]
+
+
+@contextmanager
+def written_for_now(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as ``written`` has it, for the time of a block; its files go at the end of that."""
+    rows, path = _written(df)
+    try:
+        yield rows
+    finally:
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, Any]:
+    """The written rows, and the path of their folder."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/written-{uuid4().hex}"
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     df.write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), path

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from velograph.layout import ROWS_PER_TASK, cut_lineage
+from velograph.layout import ROWS_PER_TASK, cut_lineage, small_tasks, written_for_now
 from velograph.layout.buckets import BucketedTables
 from velograph.layout.rounds import Rounds
 from velograph.layout.skew import SlicedRows, heavy_keys, sliced_table
@@ -80,14 +80,14 @@ def shortest_path_tree(
             complete_edges(edges, "source", "target", "weight", drop_incomplete=drop_incomplete)
             .groupBy("source", "target")
             .agg(F.min("weight").cast("bigint").alias("weight"))
-            .persist()
         )
-        try:
-            _check_weights(pairs)
+        # Made once, as columns in files: a cache of all pairs would take the memory that sorts need.
+        facts = Observation()
+        counted = pairs.observe(facts, F.count("*").alias("n_pairs"), F.count_if(F.col("weight") < 0).alias("n_negative"))
+        with small_tasks(spark), written_for_now(counted) as pairs:
+            _check_weights(facts.get)
             heavy = heavy_keys(pairs, "source", rows_per_task)
             sliced = sliced_table(pairs, heavy, ["target"], "edges", state_folder)
-        finally:
-            pairs.unpersist()
         state = _first_state(sliced.tables, pairs.schema["source"].dataType.simpleString(), source_node)
     else:
         sliced = sliced_table(None, None, ["target"], "edges", state_folder, done, spark)
@@ -107,10 +107,7 @@ def shortest_path_tree(
         sliced.tables.close()
 
 
-def _check_weights(pairs: DataFrame) -> None:
-    facts = pairs.agg(
-        F.count("*").alias("n_pairs"), F.count_if(F.col("weight") < 0).alias("n_negative")
-    ).first()
+def _check_weights(facts: dict) -> None:
     if not facts["n_pairs"]:
         raise ValueError("no edges to search")
     if facts["n_negative"]:
